@@ -5,8 +5,9 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from monthmill.functions.dates import month_id
+from monthmill.operators.features import in_periods
 from monthmill.plans.registry import query
-from monthmill.plans.stand_ins import MARKET_SQL, user_markets
+from monthmill.plans.stand_ins import MARKET_SQL, REFERENCE_MONTH, user_markets
 from monthmill.session import scratch_path
 from monthmill.sinks import files
 from monthmill.sources import tables
@@ -38,13 +39,12 @@ def scoring_lines(spark: SparkSession, folder: str) -> DataFrame:
     """
 )
 def market_month(spark: SparkSession, folder: str) -> DataFrame:
-    """Requests written by market and month; one month of one market read back."""
-    orders = tables.parquet_table(spark, folder, "orders").select(
-        "o_orderkey", "o_custkey", month_id(F.col("o_orderdate")).alias("data_month")
-    )
+    """The months of a cycle written by market and month; one month of one market read back."""
+    orders = in_periods(tables.parquet_table(spark, folder, "orders"), "o_orderdate", REFERENCE_MONTH)
+    requests = orders.select("o_orderkey", "o_custkey", month_id(F.col("o_orderdate")).alias("data_month"))
     markets = user_markets(spark, folder).withColumnRenamed("user_id", "o_custkey")
     base = scratch_path(spark, "requests")
-    files.write_months(orders.join(markets, "o_custkey"), base)
+    files.write_months(requests.join(markets, "o_custkey"), base)
     return tables.market_month(spark, base, "MY", "200107")
 
 

@@ -48,11 +48,23 @@ def document_source(spark: SparkSession, *documents: str) -> DataFrame:
 
 
 def market_month(spark: SparkSession, base: str, market: str, month: str) -> DataFrame:
-    """One month of one market from ``base/market=…/data_month=…``; other folders are not read."""
+    """One month of one market from ``base/market=…/data_month=…``.
+
+    The folder is addressed by name, so the other folders, of which there may
+    be many thousands, are not even listed.
+    """
     if not re.fullmatch(r"\d{4}(0[1-9]|1[0-2])", month):
         raise ValueError(f"month must be yyyymm, not {month!r}")
-    # Partition values are text: "200107" must not turn into a number.
-    fields = spark.read.parquet(base).drop(*MARKET_PARTITIONS).schema.fields
-    schema = T.StructType(fields + [T.StructField(p, T.StringType()) for p in MARKET_PARTITIONS])
-    table = spark.read.schema(schema).parquet(base)
-    return table.where((F.col("market") == market) & (F.col("data_month") == month))
+    if not re.fullmatch(r"\w+", market):
+        raise ValueError(f"not a market: {market!r}")
+    rows = spark.read.parquet(f"{base.rstrip('/')}/market={market}/data_month={month}")
+    return rows.withColumns({"market": F.lit(market), "data_month": F.lit(month)})
+
+
+def market_months(spark: SparkSession, base: str, fields: T.StructType) -> DataFrame:
+    """All months of all markets; a filter on market and month prunes the folders.
+
+    The partition columns are text: "200107" must not turn into a number.
+    """
+    names = [T.StructField(p, T.StringType()) for p in MARKET_PARTITIONS]
+    return spark.read.schema(T.StructType([*fields, *names])).parquet(base)
