@@ -20,6 +20,9 @@ from monthmill.session import durable
 HOT_ROWS = 5_000_000
 CHUNK_ROWS = 2_000_000
 
+# More chunks would cost the shuffle more in bookkeeping than they save; they grow instead.
+MOST_CHUNKS = 20_000
+
 # A key outside the 10,000 largest holds at most a ten-thousandth of the rows.
 HOT_KEYS = 10_000
 
@@ -141,7 +144,7 @@ def _by_group_size(
 
 def _chunks(df: DataFrame, keys: list[str], order: list, size: int, hot_rows: int) -> DataFrame:
     """Number the range partitions. They are stored, since a second run could cut elsewhere."""
-    parts = max(2, math.ceil(size / min(CHUNK_ROWS, hot_rows)))
+    parts = min(max(2, math.ceil(size / min(CHUNK_ROWS, hot_rows))), MOST_CHUNKS)
     return durable(df.repartitionByRange(parts, *keys, *order).withColumn(_CHUNK, F.spark_partition_id()))
 
 

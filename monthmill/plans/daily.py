@@ -2,10 +2,11 @@
 
 from __future__ import annotations
 
+import pandas as pd
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from monthmill.functions import documents, names
-from monthmill.operators import features, gates, slices
+from monthmill.operators import features, gates, slices, steps
 from monthmill.plans.registry import query
 from monthmill.sources.tables import parquet_table, query_rows
 
@@ -156,3 +157,22 @@ def random_draws(spark: SparkSession, folder: str) -> DataFrame:
     return drawn.groupBy("event_type").agg(
         F.count("*").alias("n"), F.count_if(F.col("draw").between(1, 10)).alias("n_in_range")
     )
+
+
+@query(
+    f"""
+    SELECT event_id, event_type, value * 2 AS doubled, split_part(ts::VARCHAR, ' ', 1) AS date
+    FROM events WHERE split_part(ts::VARCHAR, ' ', 1) = '{DAY}'
+    """
+)
+def python_step(spark: SparkSession, folder: str) -> DataFrame:
+    """A slice followed by a caller's Python function over Arrow batches."""
+
+    def doubled(batch: pd.DataFrame) -> pd.DataFrame:
+        return batch.assign(doubled=batch["value"] * 2).drop(columns="value")
+
+    return steps.run_steps(
+        parquet_table(spark, folder, "events"),
+        lambda df: slices.day_slice(df, DAY, "ts", ["event_id", "event_type", "value"]),
+        lambda df: steps.map_batches(df, doubled, "event_id long, event_type string, date string, doubled double"),
+    )
