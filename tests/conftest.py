@@ -24,4 +24,5 @@ def rows(df):
 
 
 def plan(df):
-    return df._jdf.queryExecution().executedPlan().toString()
+    """The physical plan before it runs; a finished one would list its stages twice."""
+    return df.select("*")._jdf.queryExecution().executedPlan().toString()
