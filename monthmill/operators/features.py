@@ -7,6 +7,7 @@ import datetime
 from pyspark.sql import Column, DataFrame, functions as F
 
 from monthmill.functions.dates import month_of, months_between_starts
+from monthmill.operators.lookups import skewed_join
 from monthmill.operators.ordered import HOT_ROWS, with_previous
 from monthmill.operators.slices import between_days
 
@@ -81,9 +82,9 @@ def single_carrier_users(df: DataFrame, user: str, carrier: str) -> DataFrame:
     return range_.where(F.col("low") == F.col("high")).select(user)
 
 
-def keep_single_carrier(df: DataFrame, user: str, carrier: str) -> DataFrame:
+def keep_single_carrier(df: DataFrame, user: str, carrier: str, hot_rows: int = HOT_ROWS) -> DataFrame:
     """The rows of users with exactly one distinct carrier."""
-    return df.join(single_carrier_users(df, user, carrier), user, "left_semi")
+    return skewed_join(df, single_carrier_users(df, user, carrier), user, "left_semi", hot_rows)
 
 
 def request_features(
@@ -117,8 +118,18 @@ def churn_labels(df: DataFrame, features: DataFrame, user: str, moment: str, mon
     )
 
 
+def next_month_labels(df: DataFrame, user: str, moment: str, **labels: Column) -> DataFrame:
+    """Labels of a user and month under the month before, to whose features they belong.
+
+    The month is shifted before the aggregate, so labels and features are
+    partitioned alike and their join shuffles nothing again.
+    """
+    month = F.add_months(month_of(F.col(moment)), -1).alias("month")
+    return df.groupBy(user, month).agg(*[value.alias(name) for name, value in labels.items()])
+
+
 def with_next_label(features: DataFrame, labels: DataFrame, user: str, month: str = "month") -> DataFrame:
-    """Features of a month joined to the same user's labels of the following month."""
+    """Features of a month joined to the same user's stored labels of the following month."""
     shifted = labels.withColumn(month, F.add_months(month, -1))
     return features.join(shifted, [user, month], "inner")
 

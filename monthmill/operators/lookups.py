@@ -4,23 +4,48 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, functions as F
 
-from monthmill.operators.ordered import same_keys
+from monthmill.operators.ordered import HOT_ROWS, hot_groups, same_keys
 
 BROADCAST_ROWS = 500_000
 
 
-def keep_listed(df: DataFrame, listed: DataFrame, on: str | list[str]) -> DataFrame:
-    """The rows whose key is in a list. The list is broadcast only if its size allows it."""
-    return df.join(listed, on, "left_semi")
+def lookup(df: DataFrame, values: DataFrame, on: str | list[str], how: str, hot_rows: int = HOT_ROWS) -> DataFrame:
+    """Join a table with one that has one row per key, whatever the sizes and the skew.
+
+    Up to ``BROADCAST_ROWS`` rows ``values`` is broadcast. A larger one is joined
+    by shuffle, except for the keys that hold very many rows of ``df``: there
+    are at most ``HOT_KEYS`` of them, so their few entries are broadcast and the
+    rows of a hot key stay where they are.
+    """
+    if values.count() <= BROADCAST_ROWS:
+        return df.join(F.broadcast(values), on, how)
+    return skewed_join(df, values, on, how, hot_rows)
+
+
+def skewed_join(df: DataFrame, values: DataFrame, on: str | list[str], how: str, hot_rows: int = HOT_ROWS) -> DataFrame:
+    """Join by shuffle, with the entries of hot keys broadcast; see ``lookup``."""
+    keys = [on] if isinstance(on, str) else on
+    hot = hot_groups(df, keys, hot_rows)
+    if not hot:
+        return df.join(values, keys, how)
+    is_hot = F.xxhash64(*keys).isin(list(hot))
+    cold_rows = df.where(~is_hot).join(values, keys, how)
+    hot_side = df.where(is_hot).join(F.broadcast(values.where(is_hot)), keys, how)
+    return cold_rows.unionByName(hot_side)
+
+
+def keep_listed(df: DataFrame, listed: DataFrame, on: str | list[str], hot_rows: int = HOT_ROWS) -> DataFrame:
+    """The rows whose key is in a list."""
+    return lookup(df, listed, on, "left_semi", hot_rows)
 
 
-def attach(df: DataFrame, reference: DataFrame, on: str | list[str]) -> DataFrame:
+def attach(df: DataFrame, reference: DataFrame, on: str | list[str], hot_rows: int = HOT_ROWS) -> DataFrame:
     """Every row, with the columns of its reference entry or NULL."""
-    return df.join(reference, on, "left")
+    return lookup(df, reference, on, "left", hot_rows)
 
 
 def with_predictions(inputs: DataFrame, predictions: DataFrame, key: str) -> DataFrame:
-    """Every input record beside its prediction."""
+    """Every input record beside its prediction. Both have one row per key, so nothing is skewed."""
     return inputs.join(predictions, key, "left")
 
 

@@ -90,22 +90,20 @@ def manifest(markets: DataFrame, market: str = "market", month: str = "data_mont
 
     Markets with labels get a label job; markets with a trained variant get a
     training job per model type; every market gets a prediction job per type.
+    Each market and month is read once and unfolds into its jobs.
     """
-    routed = routes(markets.select(market, month), market)
-    typed = with_model_types(routed)
-    at, when_, kind = F.col(market), F.col(month), F.col("model_type")
+    at, when_, variant = F.col(market), F.col(month), F.col("variant")
 
-    def jobs(rows: DataFrame, step: str, types: Column, detail: Column, name: Column) -> DataFrame:
-        return rows.select(
-            F.lit(step).alias("step"), market, types.alias("model_type"), month, detail.alias("route"), name.alias("job")
+    def job(step: str, route: Column, model_type: str | None = None) -> Column:
+        kind = F.lit(model_type).cast("string")
+        name = job_name(step, at, when_, kind if model_type else None)
+        return F.struct(
+            F.lit(step).alias("step"), kind.alias("model_type"), route.alias("route"), name.alias("job")
         )
 
-    nothing = F.lit(None).cast("string")
-    labels = jobs(
-        routed.where(F.col("label_source").isNotNull()), "label", nothing, F.col("label_source"), job_name("label", at, when_)
-    )
-    trains = jobs(
-        typed.where(F.col("variant") != "fallback"), "train", kind, F.col("variant"), job_name("train", at, when_, kind)
-    )
-    predicts = jobs(typed, "predict", kind, F.col("variant"), job_name("predict", at, when_, kind))
-    return labels.unionByName(trains).unionByName(predicts)
+    jobs = [job("label", F.col("label_source"))]
+    jobs += [job("train", F.when(variant != "fallback", variant), kind) for kind in MODEL_TYPES]
+    jobs += [job("predict", variant, kind) for kind in MODEL_TYPES]
+    due = F.filter(F.array(*jobs), lambda j: j["route"].isNotNull())
+    listed = routes(markets.select(market, month), market).select(market, month, F.inline(due))
+    return listed.select("step", market, "model_type", month, "route", "job")

@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from monthmill.functions.dates import month_id
 from monthmill.operators.features import in_periods
+from monthmill.operators.lookups import lookup
 from monthmill.plans.registry import query
 from monthmill.plans.stand_ins import MARKET_SQL, REFERENCE_MONTH, user_markets
 from monthmill.session import scratch_path
@@ -44,7 +45,7 @@ def market_month(spark: SparkSession, folder: str) -> DataFrame:
     requests = orders.select("o_orderkey", "o_custkey", month_id(F.col("o_orderdate")).alias("data_month"))
     markets = user_markets(spark, folder).withColumnRenamed("user_id", "o_custkey")
     base = scratch_path(spark, "requests")
-    files.write_months(requests.join(markets, "o_custkey"), base)
+    files.write_months(lookup(requests, markets, "o_custkey", "inner"), base)
     return tables.market_month(spark, base, "MY", "200107")
 
 

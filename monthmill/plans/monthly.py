@@ -118,7 +118,7 @@ def market_settings(spark: SparkSession, folder: str) -> DataFrame:
     markets = nation.join(sizes, "n_regionkey").select("n_nationkey", F.col("n_name").alias("market"), "size")
     configured = routing.with_settings(markets, settings)
     customers = parquet_table(spark, folder, "customer").select("c_custkey", F.col("c_nationkey").alias("n_nationkey"))
-    return customers.join(configured, "n_nationkey").drop("n_nationkey")
+    return lookups.lookup(customers, configured, "n_nationkey", "inner").drop("n_nationkey")
 
 
 @query(
@@ -248,9 +248,8 @@ def feature_label(spark: SparkSession, folder: str) -> DataFrame:
     orders = parquet_table(spark, folder, "orders")
     known = features.monthly_activity(orders, "o_custkey", "o_orderdate")
     high = F.when(F.max("o_totalprice") >= 300000, 1).otherwise(0)
-    labels = orders.groupBy("o_custkey", dates.month_of(F.col("o_orderdate")).alias("month")).agg(high.alias("label"))
-    joined = features.with_next_label(known, labels, "o_custkey")
-    return joined.withColumn("month", dates.month_id(F.col("month")))
+    labels = features.next_month_labels(orders, "o_custkey", "o_orderdate", label=high)
+    return known.join(labels, ["o_custkey", "month"]).withColumn("month", dates.month_id(F.col("month")))
 
 
 @query(
@@ -314,7 +313,8 @@ def class_weights(spark: SparkSession, folder: str) -> DataFrame:
         F.col("c_nationkey").alias("market"), F.col("c_mktsegment").alias("class")
     )
     predicted = shares.class_shares(users, "market", "class")
-    regional = shares.class_shares(users.join(nation, "market"), "n_regionkey", "class")
+    counts = users.groupBy("market", "class").agg(F.count("*").alias("n"))
+    regional = shares.class_shares(counts.join(nation, "market"), "n_regionkey", "class", rows="n")
     target = nation.join(regional.withColumnRenamed("share", "target_share").drop("n"), "n_regionkey")
     weights = shares.class_weights(predicted, target.drop("n_regionkey"), "market", "class")
     rounded = {c: F.round(c, 6) for c in ["share", "target_share", "weight"]}

@@ -10,7 +10,7 @@ import datetime
 
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
-from monthmill.functions.dates import month_id
+from monthmill.functions.dates import month_id, month_of
 from monthmill.operators.routing import MARKET_SIZES
 from monthmill.sources.tables import parquet_table
 
@@ -40,9 +40,9 @@ def market_months(spark: SparkSession, folder: str) -> DataFrame:
     A user's months are made distinct before they are joined with the user's market.
     """
     orders = parquet_table(spark, folder, "orders")
-    months = orders.select(F.col("o_custkey").alias("user_id"), month_id(F.col("o_orderdate")).alias("data_month"))
+    months = orders.select(F.col("o_custkey").alias("user_id"), month_of(F.col("o_orderdate")).alias("month"))
     joined = months.distinct().join(user_markets(spark, folder), "user_id")
-    return joined.select("market", "data_month").distinct()
+    return joined.select("market", "month").distinct().select("market", month_id(F.col("month")).alias("data_month"))
 
 
 def event_log(spark: SparkSession, folder: str) -> DataFrame:

@@ -14,6 +14,7 @@ def local_session(name: str, cores: str | int = "*", **conf: str) -> SparkSessio
         "spark.sql.shuffle.partitions": "8",
         "spark.sql.session.timeZone": "UTC",
         "spark.ui.enabled": "false",
+        "spark.ui.showConsoleProgress": "false",
         "spark.driver.memory": "8g",
         **conf,
     }

@@ -90,6 +90,8 @@ def test_next_label_crosses_the_year(spark):
     known = spark.createDataFrame(months, "u int, month date")
     labels = spark.createDataFrame([(1, datetime.date(2022, 1, 1), 7), (1, datetime.date(2022, 2, 1), 8)], "u int, month date, label int")
     assert rows(features.with_next_label(known, labels, "u")) == [(1, datetime.date(2021, 12, 1), 7)]
+    early = features.next_month_labels(labels, "u", "month", label=F.max("label"))
+    assert rows(known.join(early, ["u", "month"])) == [(1, datetime.date(2021, 12, 1), 7)]
 
 
 def test_gate_goldens(spark):
@@ -115,6 +117,25 @@ def test_lookups(spark):
     assert rows(lookups.missing(df.select("id"), df.where("id = 2").select("id"), ["id"])) == [(1,), (3,)]
 
 
+@pytest.mark.parametrize("how", ["left_semi", "left", "inner"])
+def test_hot_keys_of_a_large_lookup_stay_in_place(spark, monkeypatch, how):
+    monkeypatch.setattr(lookups, "BROADCAST_ROWS", 5)
+    pick = random.Random(4)
+    data = [(i, pick.choices([1, None, *range(2, 30)], [40, 30, *[1] * 28])[0]) for i in range(800)]
+    df = spark.createDataFrame(data, "id int, k int")
+    values = spark.createDataFrame([(k, k * k) for k in range(0, 30, 2)] + [(1, 7)], "k int, v int")
+    got = lookups.lookup(df, values, "k", how, hot_rows=100)
+    assert rows(got) == rows(df.join(values, "k", how))
+    assert plan(got).count("BroadcastHashJoin") >= 1
+
+
+def test_single_carrier_of_a_hot_user(spark):
+    data = [(1, "A")] * 50 + [(2, "A"), (2, "B")] * 30 + [(3, "C"), (4, None)]
+    df = spark.createDataFrame(data, "u int, c string")
+    expected = [(1, "A")] * 50 + [(3, "C")]
+    assert rows(features.keep_single_carrier(df, "u", "c", hot_rows=40)) == expected
+
+
 @pytest.mark.parametrize("limit", [0, 100])
 def test_group_values_join_null_keys_on_both_ways(spark, monkeypatch, limit):
     monkeypatch.setattr(lookups, "BROADCAST_ROWS", limit)
