@@ -13,6 +13,7 @@ from pyspark.ml.feature import StringIndexer, VectorAssembler
 from pyspark.ml.functions import vector_to_array
 from pyspark.sql import DataFrame, functions as F
 
+from monthmill.operators.routing import FIRST_VARIANT_MARKETS, SECOND_VARIANT_MARKETS
 from monthmill.sinks.files import model_path
 
 # Parameters of the boosted variant.
@@ -78,6 +79,19 @@ def train_markets(df: DataFrame, markets: list[str], pipeline: Pipeline, market:
     return {name: train(df.where(F.col(market) == name), pipeline) for name in markets}
 
 
+def train_routed(df: DataFrame, label: str, pipelines: dict[str, Pipeline], market: str = "market") -> dict[str, PipelineModel]:
+    """One model per market that has training, by the pipeline of the market's variant.
+
+    A market whose rows do not show at least two labels cannot be trained and
+    is left out. The check brings one row per configured market to the driver.
+    """
+    variants = {m: "v1" for m in FIRST_VARIANT_MARKETS} | {m: "v2" for m in SECOND_VARIANT_MARKETS}
+    seen = df.where(F.col(market).isin(list(variants))).groupBy(market)
+    spans = seen.agg(F.min(label).alias("low"), F.max(label).alias("high")).where("low < high")
+    trainable = sorted(row[market] for row in spans.collect())
+    return {name: train(df.where(F.col(market) == name), pipelines[variants[name]]) for name in trainable}
+
+
 def score_markets(
     df: DataFrame, models: dict[str, PipelineModel], fallback: PipelineModel | None = None, market: str = "market"
 ) -> DataFrame:

@@ -7,6 +7,7 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 from monthmill.operators.slices import day_slice
 from monthmill.plans.daily import DAY, SLICE_COLUMNS
 from monthmill.plans.registry import query
+from monthmill.plans.stand_ins import event_log
 from monthmill.session import scratch_path
 from monthmill.sources.tables import parquet_table
 from monthmill.streaming import jobs
@@ -48,3 +49,24 @@ def stream_stats(spark: SparkSession, folder: str) -> DataFrame:
 def stream_day_slice(spark: SparkSession, folder: str) -> DataFrame:
     """The day slice as an incremental job."""
     return _finished(spark, _stream(spark, folder, "events").transform(day_slice, DAY, "ts", SLICE_COLUMNS))
+
+
+@query(
+    """
+    WITH r AS (
+        SELECT date_trunc('millisecond', ts) AS ts, '/d/u' || user_id || '.py' AS source,
+            CASE WHEN event_type IN ('click', 'purchase') THEN value END AS took FROM events),
+    w AS (
+        SELECT time_bucket(INTERVAL 30 SECOND, ts) AS window_start, source, count(*) AS n,
+            round(sum(took), 2) AS total, max(took) AS largest
+        FROM r GROUP BY 1, 2)
+    SELECT * FROM w WHERE window_start + INTERVAL 30 SECOND
+        <= (SELECT date_trunc('millisecond', max(ts)) - INTERVAL 1 HOUR FROM events)
+    """
+)
+def stream_log_stats(spark: SparkSession, folder: str) -> DataFrame:
+    """Log records and durations per pipeline file and 30 seconds, from arriving log files."""
+    path = scratch_path(spark, "log")
+    event_log(spark, folder).write.text(path)
+    stats = jobs.window_stats(jobs.arriving_logs(spark, path), "ts", ["source"], "took")
+    return _finished(spark, stats).withColumn("total", F.round("total", 2))

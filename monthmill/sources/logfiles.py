@@ -53,7 +53,7 @@ def log_records(spark: SparkSession, path: str) -> DataFrame:
     pieces = log_pieces(spark, path)
     piece = F.col("piece")
     if pieces.where(~piece.rlike(FIRST_PIECE) & ~piece.rlike(LATER_PIECE)).isEmpty():
-        return pieces.select("file", F.rtrim(_restored(piece), F.lit("\n")).alias("record"))
+        return pieces.select("file", restored(piece).alias("record"))
     return joined_pieces(durable(pieces))
 
 
@@ -74,6 +74,7 @@ def joined_pieces(pieces: DataFrame, hot_rows: int = HOT_ROWS) -> DataFrame:
     return records.select("file", F.rtrim(F.array_join("parts", "\n"), F.lit("\n")).alias("record"))
 
 
-def _restored(piece: Column) -> Column:
+def restored(piece: Column) -> Column:
     """A record as it was in the file: only the first of a file still has its bracket."""
-    return F.when(piece.startswith("["), piece).otherwise(F.concat(F.lit(SEPARATOR[1:]), piece))
+    whole = F.when(piece.startswith("["), piece).otherwise(F.concat(F.lit(SEPARATOR[1:]), piece))
+    return F.rtrim(whole, F.lit("\n"))

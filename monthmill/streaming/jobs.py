@@ -4,6 +4,9 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
 
+from monthmill.operators.logs import log_fields, measured
+from monthmill.sources.logfiles import SEPARATOR, restored
+
 
 def arriving_files(
     spark: SparkSession,
@@ -22,6 +25,20 @@ def arriving_files(
     return reader.load(folder)
 
 
+def arriving_logs(spark: SparkSession, folder: str, files_per_batch: int | None = None) -> DataFrame:
+    """A stream of the log records in arriving files, with their fields and measures.
+
+    Files are cut at the record separator as in a batch read. A continuation
+    line that looks like a separator becomes a record without a time, which no
+    window counts.
+    """
+    reader = spark.readStream.option("lineSep", SEPARATOR).option("recursiveFileLookup", True)
+    if files_per_batch:
+        reader = reader.option("maxFilesPerTrigger", files_per_batch)
+    records = reader.text(folder).select(restored(F.col("value")).alias("record"))
+    return measured(log_fields(records))
+
+
 def window_stats(
     stream: DataFrame, moment: str, keys: list[str], value: str, length: str = "30 seconds", delay: str = "1 hour"
 ) -> DataFrame:
