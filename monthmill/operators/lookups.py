@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, functions as F
 
 from monthmill.operators.ordered import HOT_ROWS, hot_groups, same_keys
 
-BROADCAST_ROWS = 500_000
+BROADCAST_ROWS = 200_000
 
 
 def lookup(df: DataFrame, values: DataFrame, on: str | list[str], how: str, hot_rows: int = HOT_ROWS) -> DataFrame:
@@ -23,15 +23,22 @@ def lookup(df: DataFrame, values: DataFrame, on: str | list[str], how: str, hot_
 
 
 def skewed_join(df: DataFrame, values: DataFrame, on: str | list[str], how: str, hot_rows: int = HOT_ROWS) -> DataFrame:
-    """Join by shuffle, with the entries of hot keys broadcast; see ``lookup``."""
+    """Join by shuffle, with the entries of hot keys broadcast; see ``lookup``.
+
+    Keys of different types hash differently, so they take the plain join.
+    """
     keys = [on] if isinstance(on, str) else on
-    hot = hot_groups(df, keys, hot_rows)
+    alike = all(df.schema[k].dataType == values.schema[k].dataType for k in keys)
+    hot = hot_groups(df, keys, hot_rows) if alike else {}
     if not hot:
         return df.join(values, keys, how)
     is_hot = F.xxhash64(*keys).isin(list(hot))
-    cold_rows = df.where(~is_hot).join(values, keys, how)
-    hot_side = df.where(is_hot).join(F.broadcast(values.where(is_hot)), keys, how)
-    return cold_rows.unionByName(hot_side)
+    hot_values = values.where(is_hot)
+    if how == "left_semi":
+        # A list may name a key more than once.
+        hot_values = hot_values.select(*keys).distinct()
+    cold = df.where(~is_hot).join(values, keys, how)
+    return cold.unionByName(df.where(is_hot).join(F.broadcast(hot_values), keys, how))
 
 
 def keep_listed(df: DataFrame, listed: DataFrame, on: str | list[str], hot_rows: int = HOT_ROWS) -> DataFrame:

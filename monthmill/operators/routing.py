@@ -51,11 +51,10 @@ def settings_table(spark: SparkSession, settings: dict[str, dict] | None = None)
 def with_settings(markets: DataFrame, settings: DataFrame, size: str = "size") -> DataFrame:
     """Every market with the settings of its size class. A size without settings stops the job."""
     known = settings.withColumn("_known", F.lit(True))
-    joined = markets.join(known, size, "left")
-    checked = F.when(F.col("_known"), F.col(size)).otherwise(
-        F.raise_error(F.format_string("no settings for size %s", F.col(size)))
-    )
-    return joined.withColumn(size, checked).drop("_known")
+    unknown = F.raise_error(F.format_string("no settings for size %s", F.col(size))).cast("boolean")
+    # A filter, since a checked column would be dropped with its check if nobody reads it.
+    joined = markets.join(known, size, "left").where(F.when(F.col("_known"), True).otherwise(unknown))
+    return joined.drop("_known")
 
 
 def label_source(market: Column) -> Column:

@@ -169,6 +169,23 @@ def pca(spark: SparkSession, folder: str) -> DataFrame:
     return scores.drop("features")
 
 
+@query(
+    """
+    SELECT vec_id, round(list_dot_product(embedding::DOUBLE[], embedding::DOUBLE[]), 4) AS squared_length
+    FROM embeddings
+    """
+)
+def pca_lengths(spark: SparkSession, folder: str) -> DataFrame:
+    """All principal components together keep the length of every vector."""
+    rows = parquet_table(spark, folder, "embeddings")
+    width = len(rows.select("embedding").first()[0])
+    vectors = rows.select("vec_id", array_to_vector("embedding").alias("features"))
+    scores, _ = prep.principal_components(vectors, "features", width)
+    squares = [F.col(f"pc_{i + 1}") * F.col(f"pc_{i + 1}") for i in range(width)]
+    length = F.aggregate(F.array(*squares), F.lit(0.0), lambda a, b: a + b)
+    return scores.select("vec_id", F.round(length, 4).alias("squared_length"))
+
+
 @query()
 def train_score_lr(spark: SparkSession, folder: str) -> DataFrame:
     """Logistic regression for age, trained on the training part, scored on all rows."""

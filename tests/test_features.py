@@ -129,6 +129,15 @@ def test_hot_keys_of_a_large_lookup_stay_in_place(spark, monkeypatch, how):
     assert plan(got).count("BroadcastHashJoin") >= 1
 
 
+def test_hot_keys_of_another_type_and_repeated_entries(spark, monkeypatch):
+    monkeypatch.setattr(lookups, "BROADCAST_ROWS", 0)
+    df = spark.createDataFrame([(i, 1) for i in range(100)] + [(200, 2)], "id int, k int")
+    wide = spark.createDataFrame([(1,), (1,), (2,)], "k long")
+    assert lookups.keep_listed(df, wide, "k", hot_rows=50).count() == 101
+    same = wide.withColumn("k", F.col("k").cast("int"))
+    assert lookups.keep_listed(df, same, "k", hot_rows=50).count() == 101
+
+
 def test_single_carrier_of_a_hot_user(spark):
     data = [(1, "A")] * 50 + [(2, "A"), (2, "B")] * 30 + [(3, "C"), (4, None)]
     df = spark.createDataFrame(data, "u int, c string")

@@ -32,6 +32,8 @@ def test_an_unknown_size_stops_the_job(spark):
     markets = routing.market_table(spark, {"MY": "huge"})
     with pytest.raises(Exception, match="no settings for size huge"):
         routing.with_settings(markets, routing.settings_table(spark)).collect()
+    with pytest.raises(Exception, match="no settings for size huge"):
+        routing.with_settings(markets, routing.settings_table(spark)).select("num_executors").collect()
 
 
 def test_model_types(spark):
