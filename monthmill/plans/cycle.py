@@ -10,8 +10,8 @@ from monthmill.functions import documents
 from monthmill.operators import features, metrics, models
 from monthmill.operators.slices import day_slice
 from monthmill.plans.registry import query
-from monthmill.plans.stand_ins import REFERENCE_MONTH, REQUEST_ORDER, user_markets
-from monthmill.session import scratch_path
+from monthmill.plans.stand_ins import MARKET_SQL, REFERENCE_MONTH, REQUEST_ORDER, user_markets
+from monthmill.session import durable, scratch_path
 from monthmill.sinks import files
 from monthmill.sources import tables
 
@@ -70,14 +70,43 @@ def monthly_cycle(
     return tables.market_months(rows.sparkSession, f"{base}/prediction", kept).where(F.col("data_month") == month_id)
 
 
-@query()
+@query(
+    f"""
+    WITH known AS (
+        SELECT DISTINCT o_custkey FROM orders
+        WHERE o_orderdate >= TIMESTAMP '2001-01-01' AND o_orderdate < TIMESTAMP '2001-07-01'),
+    later AS (
+        SELECT DISTINCT o_custkey FROM orders
+        WHERE o_orderdate >= TIMESTAMP '2001-07-01' AND o_orderdate < TIMESTAMP '2001-08-01')
+    SELECT {MARKET_SQL} AS market, '200107' AS data_month, count(*) AS n_scored,
+        count(*) FILTER (WHERE later.o_custkey IS NULL) AS n_churn
+    FROM known JOIN customer ON c_custkey = known.o_custkey LEFT JOIN later ON later.o_custkey = known.o_custkey
+    GROUP BY 1
+    """
+)
 def monthly_cycle_report(spark: SparkSession, folder: str) -> DataFrame:
-    """The monthly cycle over all requests; accuracy and gate per market."""
+    """The monthly cycle over all requests: users scored and users lost per market."""
     orders = tables.parquet_table(spark, folder, "orders")
     markets = user_markets(spark, folder).withColumnRenamed("user_id", "o_custkey")
     base = scratch_path(spark, "cycle")
     scored = monthly_cycle(
         orders, markets, "o_custkey", REQUEST_ORDER, "o_orderpriority", REFERENCE_MONTH, base, rounds=2
     )
+    return scored.groupBy("market", "data_month").agg(
+        F.count_if(F.col("prediction").isin(0.0, 1.0)).alias("n_scored"), F.sum(LABEL).alias("n_churn")
+    )
+
+
+@query()
+def market_gates(spark: SparkSession, folder: str) -> DataFrame:
+    """Accuracy of a trained model per market and whether it passes the gate."""
+    orders = tables.parquet_table(spark, folder, "orders")
+    before = features.month_shift(REFERENCE_MONTH, -1)
+    known = features.period_features(orders, "o_custkey", "o_orderdate", before)
+    rows = durable(features.churn_labels(orders, known, "o_custkey", "o_orderdate", before))
+    numbers = [c for c in known.columns if c != "o_custkey"]
+    model = models.train(rows, models.assembled(numbers, models.logistic(LABEL, iterations=20)))
+    markets = user_markets(spark, folder).withColumnRenamed("user_id", "o_custkey")
+    scored = models.score(rows, model).join(markets, "o_custkey")
     report = metrics.quality_gate(scored, ["market"], "prediction", LABEL)
     return report.withColumn("accuracy", F.round("accuracy", 6))

@@ -34,7 +34,7 @@ def _periods_from(month: str) -> str:
 @query(
     """
     SELECT o_orderkey,
-        year(o_orderdate) AS run_year, month(o_orderdate) AS run_month,
+        year(o_orderdate)::INT AS run_year, month(o_orderdate)::INT AS run_month,
         strftime(o_orderdate, '%Y%m') AS month_id,
         strftime(date_trunc('month', o_orderdate) - INTERVAL 1 MONTH, '%Y%m') AS previous_id,
         strftime(o_orderdate::DATE - 30, '%Y%m') AS back_id,

@@ -47,7 +47,7 @@ def scaled(spark: SparkSession, folder: str) -> DataFrame:
 @query(
     """
     WITH c AS (SELECT quality, count(*) AS n FROM labels GROUP BY quality)
-    SELECT doc_id, quality, unnest(range(1, CAST(floor((SELECT max(n) FROM c) / c.n) AS BIGINT) + 1)) AS copy
+    SELECT doc_id, quality, unnest(range(1, CAST(floor((SELECT max(n) FROM c) / c.n) AS BIGINT) + 1))::INT AS copy
     FROM labels JOIN c USING (quality)
     """
 )
