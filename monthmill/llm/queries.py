@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from monthmill.llm import simhash
+from monthmill.llm import lines, mixing, simhash
 
 QUERIES = {}
 ORACLES = {}
@@ -31,3 +31,59 @@ def table(spark: SparkSession, folder: str, name: str) -> DataFrame:
 def op2_simhash_near_dedup(spark: SparkSession, folder: str) -> DataFrame:
     found = simhash.near_duplicates(table(spark, folder, "documents"), shingle=3, bits=3)
     return found.select("doc_id", simhash.hexadecimal("fp").alias("fingerprint"), "component_id")
+
+
+_LINES_SQL = """
+WITH lines AS (
+  SELECT doc_id, unnest(string_split(coalesce(text, ''), chr(10))) AS line, generate_subscripts(string_split(coalesce(text, ''), chr(10)), 1) AS nr FROM documents
+), keyed AS (
+  SELECT *, translate(trim(line, ' ' || chr(9) || chr(10) || chr(11) || chr(12) || chr(13)), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS k FROM lines
+), common AS (
+  SELECT k, max(doc_id) AS keeper FROM keyed WHERE length(k) >= 40 GROUP BY k HAVING count(DISTINCT doc_id) >= 5
+), marked AS (
+  SELECT doc_id, line, nr, keeper IS NOT NULL AND doc_id <> keeper AS gone FROM keyed LEFT JOIN common USING (k)
+)
+SELECT doc_id, count(*) AS n_lines, count(*) FILTER (gone) AS n_dropped,
+  sha256(coalesce(string_agg(line, chr(10) ORDER BY nr) FILTER (NOT gone), '')) AS kept_sha256
+FROM marked GROUP BY doc_id
+"""
+
+
+@query(_LINES_SQL)
+def op9_line_dedup(spark: SparkSession, folder: str) -> DataFrame:
+    found = lines.drop_repeated_lines(table(spark, folder, "documents").select("doc_id", "text"), least=40, documents=5)
+    return found.select("doc_id", "n_lines", "n_dropped", F.sha2(F.coalesce("text", F.lit("")), 256).alias("kept_sha256"))
+
+
+_MIX_SQL = r"""
+WITH RECURSIVE sized AS (
+  SELECT doc_id, source, len(regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+')) AS size,
+    md5(concat_ws('|', '0', doc_id::VARCHAR, text)) AS k FROM documents
+), sources AS (
+  SELECT source, sum(size)::BIGINT AS source_size, [5.0, 2.0, 1.0][1 + (row_number() OVER (ORDER BY source NULLS LAST) - 1) % 3] AS w FROM sized GROUP BY source
+), fill AS (
+  SELECT 0 AS round, source, source_size, w::DOUBLE AS w, 0::DOUBLE AS target, false AS full_ FROM sources
+  UNION ALL
+  SELECT round + 1, source, source_size, w,
+    CASE WHEN full_ THEN target ELSE least(2.0 * source_size, w * level) END,
+    full_ OR w * level >= 2.0 * source_size
+  FROM (SELECT *, (1.5 * sum(source_size) OVER () - coalesce(sum(target) FILTER (full_) OVER (), 0)) / coalesce(sum(w) FILTER (NOT full_) OVER (), 1) AS level FROM fill)
+  WHERE round <= (SELECT count(*) FROM sources)
+), targets AS (
+  SELECT source, source_size, target FROM fill WHERE round = (SELECT max(round) FROM fill)
+), summed AS (
+  SELECT doc_id, size, source_size, target,
+    coalesce(sum(size) OVER (PARTITION BY source ORDER BY k, doc_id, size ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS before,
+    CASE WHEN source_size > 0 THEN floor(target / source_size)::BIGINT ELSE 0 END AS whole
+  FROM sized JOIN targets USING (source)
+)
+SELECT doc_id, size::BIGINT AS size, source_size, round(target, 3) AS target,
+  ((whole + CASE WHEN before + size / 2 <= target - whole * source_size THEN 1 ELSE 0 END) * size)::BIGINT AS taken
+FROM summed
+"""
+
+
+@query(_MIX_SQL)
+def op3_source_mixing(spark: SparkSession, folder: str) -> DataFrame:
+    found = mixing.mix(table(spark, folder, "documents"), weights=(5, 2, 1), share=1.5, most=2.0)
+    return found.select("doc_id", "size", "source_size", F.round("target", 3).alias("target"), "taken")
