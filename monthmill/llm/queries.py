@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from monthmill.llm import lines, mixing, simhash
+from monthmill.llm import decontaminate, lines, mixing, simhash
 
 QUERIES = {}
 ORACLES = {}
@@ -87,3 +87,33 @@ FROM summed
 def op3_source_mixing(spark: SparkSession, folder: str) -> DataFrame:
     found = mixing.mix(table(spark, folder, "documents"), weights=(5, 2, 1), share=1.5, most=2.0)
     return found.select("doc_id", "size", "source_size", F.round("target", 3).alias("target"), "taken")
+
+
+_LEAKS_SQL = r"""
+WITH d AS (
+  SELECT row_number() OVER () AS r, doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') AS w FROM documents
+), b AS (
+  SELECT item_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') AS w FROM benchmark
+), bw AS (
+  SELECT DISTINCT item_id, least(10, len(w)) AS n, array_to_string(w[i:i + least(10, len(w)) - 1], ' ') AS p
+  FROM b, unnest(range(1, greatest(len(w) - 9, 1) + 1)) AS t(i) WHERE len(w) > 0
+), dw AS (
+  SELECT r, i, n, array_to_string(w[i:i + n - 1], ' ') AS p FROM d, (SELECT DISTINCT n FROM bw) AS l, unnest(range(1, len(w) - n + 2)) AS t(i)
+), hit AS (
+  SELECT r, i, n, item_id FROM dw JOIN bw USING (n, p)
+), words AS (
+  SELECT r, count(DISTINCT at) AS n_hit FROM (SELECT r, unnest(range(i, i + n)) AS at FROM hit) GROUP BY r
+), listed AS (
+  SELECT r, count(*) AS n_items, string_agg(id, ',' ORDER BY id) AS ids FROM (SELECT DISTINCT r, item_id::VARCHAR AS id FROM hit) GROUP BY r
+)
+SELECT doc_id, len(w)::BIGINT AS n_words, coalesce(n_hit, 0) AS n_hit, coalesce(n_items, 0) AS n_items,
+  sha256(coalesce(ids, '')) AS items_sha256, coalesce(n_hit, 0) > 0 AS contaminated
+FROM d LEFT JOIN words USING (r) LEFT JOIN listed USING (r)
+"""
+
+
+@query(_LEAKS_SQL)
+def op4_benchmark_decontamination(spark: SparkSession, folder: str) -> DataFrame:
+    found = decontaminate.contamination(table(spark, folder, "documents"), table(spark, folder, "benchmark"), length=10)
+    digest = F.sha2(F.array_join("items", ","), 256).alias("items_sha256")
+    return found.select("doc_id", "n_words", "n_hit", F.size("items").cast("long").alias("n_items"), digest, (F.col("n_hit") > 0).alias("contaminated"))
