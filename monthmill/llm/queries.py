@@ -102,7 +102,7 @@ WITH d AS (
 ), hit AS (
   SELECT r, i, n, item_id FROM dw JOIN bw USING (n, p)
 ), words AS (
-  SELECT r, count(DISTINCT at) AS n_hit FROM (SELECT r, unnest(range(i, i + n)) AS at FROM hit) GROUP BY r
+  SELECT r, count(DISTINCT nr) AS n_hit FROM (SELECT r, unnest(range(i, i + n)) AS nr FROM hit) GROUP BY r
 ), listed AS (
   SELECT r, count(*) AS n_items, string_agg(id, ',' ORDER BY id) AS ids FROM (SELECT DISTINCT r, item_id::VARCHAR AS id FROM hit) GROUP BY r
 )
