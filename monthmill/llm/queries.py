@@ -5,7 +5,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from monthmill.llm import decontaminate, lines, mixing, simhash
+from monthmill.llm import decontaminate, embeddings, html, langid, lines, lm, mixing, quality, simhash, urls
+from monthmill.llm.tables import remainder
 
 QUERIES = {}
 ORACLES = {}
@@ -117,3 +118,45 @@ def op4_benchmark_decontamination(spark: SparkSession, folder: str) -> DataFrame
     found = decontaminate.contamination(table(spark, folder, "documents"), table(spark, folder, "benchmark"), length=10)
     digest = F.sha2(F.array_join("items", ","), 256).alias("items_sha256")
     return found.select("doc_id", "n_words", "n_hit", F.size("items").cast("long").alias("n_items"), digest, (F.col("n_hit") > 0).alias("contaminated"))
+
+
+@query()
+def op1_quality_classifier(spark: SparkSession, folder: str) -> DataFrame:
+    docs = table(spark, folder, "documents")
+    found = quality.score(docs, quality.fit(docs, table(spark, folder, "labels")))
+    held_out = F.coalesce(remainder("doc_id", 4) == 2, F.lit(False)).alias("held_out")
+    return found.select("doc_id", held_out, "score", (F.col("score") >= 0.7).cast("int").alias("predicted"))
+
+
+@query()
+def op5_language_id(spark: SparkSession, folder: str) -> DataFrame:
+    docs = table(spark, folder, "documents")
+    found = langid.identify(docs, langid.fit(docs))
+    held_out = F.coalesce(remainder("doc_id", 5) == 0, F.lit(False)).alias("held_out")
+    return found.select("doc_id", held_out, "lang_pred", "score", "rejected")
+
+
+#: The rules of the URL filter.
+RULES = [urls.Rule("allow", "org", "/"), urls.Rule("block", "example.org", "/es/"), urls.Rule("block", "example.org", "/en/1"), urls.Rule("allow", "com", "/fr/"), urls.Rule("block", "com", "/de/")]
+
+
+@query()
+def op6_url_filter(spark: SparkSession, folder: str) -> DataFrame:
+    found = urls.judge(table(spark, folder, "pages"), RULES, urls.default_model(spark))
+    return found.select("page_id", "host", "path", "rule", "verdict", "score")
+
+
+@query()
+def op7_html_extraction(spark: SparkSession, folder: str) -> DataFrame:
+    return html.extract(table(spark, folder, "pages"))
+
+
+@query()
+def op8_lm_scoring(spark: SparkSession, folder: str) -> DataFrame:
+    docs = table(spark, folder, "documents")
+    return lm.score(docs, lm.fit(docs, table(spark, folder, "labels").filter("quality = 1")))
+
+
+@query()
+def op10_embedding_near_dedup(spark: SparkSession, folder: str) -> DataFrame:
+    return embeddings.near_duplicates(table(spark, folder, "embeddings"), least=0.95)
