@@ -149,8 +149,9 @@ def repeated_lines(docs: DataFrame, least: int = 40, documents: int = 5, *, key:
     """
     suspects = stored(_suspects(docs, key, text, least).distinct(), "suspects")
     number = F.count("*")  # a null key is one document, and never the largest
-    common = suspects.groupBy("line").agg(number.alias("n"), F.max(key).alias("keeper")).filter(F.col("n") >= documents)
-    lost = suspects.join(common.select("line", "keeper"), "line").filter(~F.col(key).eqNullSafe(F.col("keeper")))
+    common = stored(suspects.groupBy("line").agg(number.alias("n"), F.max(key).alias("keeper")).filter(F.col("n") >= documents).select("line", "keeper"), "common")
+    # The rows of a line that very many documents hold stay where they are, or are split by the skew join.
+    lost = suspects.join(small_side(common, 64), "line").filter(~F.col(key).eqNullSafe(F.col("keeper")))
     return lost.groupBy(key).agg(F.collect_list("line").alias("lines"))
 
 
