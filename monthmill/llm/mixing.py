@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 from monthmill.llm.tables import stored
 
 #: Rows per interval of keys, on average; each interval is one group of a window.
-INTERVAL = 20_000
+INTERVAL = 2_000
 
 
 def source_targets(sizes: DataFrame, weights: Sequence[float] = (5, 2, 1), share: float = 1.5, most: float = 2.0) -> DataFrame:
