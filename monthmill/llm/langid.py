@@ -18,8 +18,9 @@ PER_LANGUAGE = 600
 BUCKETS = 1 << 14
 DIMENSIONS = 16
 _GRAMS = (2, 3, 4)
-#: Bytes of text scored at a time.
-_PIECE = 1 << 20
+#: Rows, and bytes of text, scored at a time; they bound a task's memory.
+_ROWS = 500
+_PIECE = 1 << 18
 
 #: Bytes as the model sees them: letters lowered, all else of ASCII a space.
 _SEEN = np.full(256, 0x20, np.uint8)
@@ -82,13 +83,19 @@ def _sums(seen: np.ndarray, ends: np.ndarray, table: np.ndarray) -> tuple[np.nda
 
 def _letters(texts: pa.Array, seen: np.ndarray, ends: np.ndarray) -> np.ndarray:
     """Whether each text has a letter. Texts of ASCII letters are settled by their bytes."""
-    ascii_letters = np.concatenate(([0], np.cumsum((seen >= 0x61) & (seen < 0x7B))))
+    ascii_letters = np.zeros(len(seen) + 1, np.int32)
+    np.cumsum((seen >= 0x61) & (seen < 0x7B), out=ascii_letters[1:])
     found = ascii_letters[ends[1:]] > ascii_letters[ends[:-1]]
     for i in np.flatnonzero(~found):
         found[i] = any(c.isalpha() for c in texts[int(i)].as_py() or "")
     return found
 
 
+def _slices(parts: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    for part in parts:
+        yield from (part.slice(at, _ROWS) for at in range(0, part.num_rows, _ROWS))
+
+
 def softmax(logits: np.ndarray) -> np.ndarray:
     e = np.exp(logits - logits.max(axis=1, keepdims=True))
     return e / e.sum(axis=1, keepdims=True)
@@ -182,7 +189,7 @@ def identify(docs: DataFrame, model: Model, *, key: str = "doc_id", text: str =
 
     def run(parts: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         m = sent.value
-        for part in parts:
+        for part in _slices(parts):
             texts = part.column(1)
             seen, ends = _bytes(texts)
             sums, count = _sums(seen, ends, m.table)
@@ -204,7 +211,7 @@ def accepted(docs: DataFrame, model: Model, *, text: str = "text") -> DataFrame:
 
     def run(parts: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         m = sent.value
-        for part in parts:
+        for part in _slices(parts):
             seen, ends = _bytes(part.column(at))
             sums, count = _sums(seen, ends, m.table)
             score = softmax((sums / np.maximum(count, 1)[:, None] + m.bias) / m.temperature).max(axis=1)
