@@ -25,10 +25,11 @@ def best_metric(df: DataFrame, keys: list[str], metric: str, threshold: float) -
 def best_candidate(df: DataFrame, keys: list[str], metric: str, candidate: str) -> DataFrame:
     """Per group: the candidate with the highest metric; the smallest id wins a tie.
 
-    An aggregate, so each task sends one row per group.
+    An aggregate, so each task sends one row per group. A group with only
+    missing metrics stays, with NULL for both.
     """
-    top = F.min_by(F.struct(metric, candidate), F.struct((-F.col(metric)).alias("m"), F.col(candidate)))
-    picked = df.where(F.col(metric).isNotNull()).groupBy(*keys).agg(top.alias("top"))
+    rank = F.when(F.col(metric).isNotNull(), F.struct((-F.col(metric)).alias("m"), F.col(candidate)))
+    picked = df.groupBy(*keys).agg(F.min_by(F.struct(metric, candidate), rank).alias("top"))
     return picked.select(*keys, f"top.{candidate}", f"top.{metric}")
 
 

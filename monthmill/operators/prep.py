@@ -21,8 +21,8 @@ def standard_scale(df: DataFrame, columns: list[str], suffix: str = "_std") -> D
     stats = _column_stats(df, columns, {"mean": F.mean, "spread": F.stddev_samp})
 
     def scaled(c: str) -> Column:
-        spread = stats[c]["spread"]
-        return F.when(spread == 0, 0.0).otherwise((F.col(c) - stats[c]["mean"]) / spread)
+        moved = (F.col(c) - stats[c]["mean"]) / F.nullif(stats[c]["spread"], F.lit(0))
+        return F.when(F.col(c).isNotNull(), F.coalesce(moved, F.lit(0.0)))
 
     return df.withColumns({c + suffix: scaled(c) for c in columns})
 

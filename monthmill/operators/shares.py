@@ -15,6 +15,6 @@ def class_shares(df: DataFrame, market: str, klass: str, rows: str | None = None
 
 
 def class_weights(predicted: DataFrame, target: DataFrame, market: str, klass: str) -> DataFrame:
-    """Target share divided by predicted share, per market and class."""
-    joined = predicted.join(target, [market, klass], "inner")
+    """Target share divided by predicted share, per market and class; NULL where either is missing."""
+    joined = predicted.join(target, [market, klass], "full")
     return joined.withColumn("weight", F.col("target_share") / F.col("share"))

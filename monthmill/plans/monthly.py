@@ -300,10 +300,11 @@ def input_with_prediction(spark: SparkSession, folder: str) -> DataFrame:
     s AS (SELECT *, n / sum(n) OVER (PARTITION BY market) AS share FROM c),
     g AS (
         SELECT n_regionkey, class, sum(n) AS n FROM c JOIN nation ON n_nationkey = market GROUP BY 1, 2),
-    t AS (SELECT *, n / sum(n) OVER (PARTITION BY n_regionkey) AS target_share FROM g)
-    SELECT s.market, s.class, s.n, round(s.share, 6) AS share, round(t.target_share, 6) AS target_share,
-        round(t.target_share / s.share, 6) AS weight
-    FROM s JOIN nation ON n_nationkey = s.market JOIN t ON t.n_regionkey = nation.n_regionkey AND t.class = s.class
+    t AS (SELECT *, n / sum(n) OVER (PARTITION BY n_regionkey) AS target_share FROM g),
+    x AS (SELECT n_nationkey AS market, class, target_share FROM t JOIN nation ON t.n_regionkey = nation.n_regionkey)
+    SELECT market, class, n, round(share, 6) AS share, round(target_share, 6) AS target_share,
+        round(target_share / share, 6) AS weight
+    FROM s FULL JOIN x USING (market, class)
     """
 )
 def class_weights(spark: SparkSession, folder: str) -> DataFrame:
