@@ -11,8 +11,20 @@ def number_map(text: Column) -> Column:
 
 
 def map_total(numbers: Column) -> Column:
-    """The sum of a map's values; an empty map gives 0."""
-    return F.aggregate(F.map_values(numbers), F.lit(0.0), lambda total, value: total + value)
+    """The sum of a map's values; an empty map gives 0.
+
+    Of a member given more than once the last value counts. A member without a
+    number stops the job, as a malformed document does.
+    """
+    keys = F.map_keys(numbers)
+    last = F.filter(
+        F.map_entries(numbers), lambda e, i: ~F.array_contains(F.slice(keys, i + 2, F.size(keys)), e["key"])
+    )
+    values = F.when(
+        F.size(F.array_distinct(keys)) < F.size(keys), F.transform(last, lambda e: e["value"])
+    ).otherwise(F.map_values(numbers))
+    missing = F.raise_error(F.lit("a member of the document has no number")).cast("double")
+    return F.aggregate(values, F.lit(0.0), lambda total, value: total + F.coalesce(value, missing))
 
 
 def result_document(**values: Column) -> Column:

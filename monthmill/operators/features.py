@@ -71,8 +71,8 @@ def period_features(
 def carrier_switches(
     df: DataFrame, user: str, order: list[str], carrier: str, hot_rows: int = HOT_ROWS
 ) -> DataFrame:
-    """How often a user's carrier differs from the one of the row before."""
-    rows = with_previous(df.select(user, *order, carrier), [user], order, carrier, "_before", hot_rows)
+    """How often a user's carrier differs from the last known one; rows without a carrier are no switch."""
+    rows = with_previous(df.select(user, *order, carrier), [user], order, carrier, "_before", hot_rows, known=True)
     return rows.groupBy(user).agg(_switches(carrier, "_before"))
 
 
@@ -102,7 +102,7 @@ def request_features(
     """
     moment = order[0]
     rows = in_periods(df, moment, month, periods).select(user, *order, carrier)
-    rows = with_previous(rows, [user], order, carrier, "_before", hot_rows)
+    rows = with_previous(rows, [user], order, carrier, "_before", hot_rows, known=True)
     return rows.groupBy(user).agg(
         F.max_by(carrier, F.struct(*order)).alias("carrier"),
         *period_columns(moment, month, periods),
@@ -135,5 +135,5 @@ def with_next_label(features: DataFrame, labels: DataFrame, user: str, month: st
 
 
 def _switches(carrier: str, before: str) -> Column:
-    # The first row has no row before it; the comparison is NULL there and is not counted.
+    # Without a carrier, or one before it, the comparison is NULL and is not counted.
     return F.count_if(F.col(carrier) != F.col(before)).alias("n_switches")

@@ -72,32 +72,44 @@ def with_tiles(
     binned = attach_group_values(df, ranges, keys).withColumn("_bin", bin_.cast("int"))
     bins = binned.groupBy(*keys, "_bin").agg(F.count("*").alias("_n"), F.max("_size").alias("_size"))
     so_far = Window.partitionBy(*keys).orderBy("_bin")
-    borders = (
+    spans = (
         bins.withColumn("_end", F.sum("_n").over(so_far))
         .withColumn("_start", F.col("_end") - F.col("_n"))
         .withColumn("_tile", tile_of(F.col("_start") + 1, F.col("_size"), tiles))
         .withColumn("_split", F.col("_tile") != tile_of(F.col("_end"), F.col("_size"), tiles))
     )
-    borders = durable(borders)
-    placed = attach_group_values(binned.drop("_low", "_high", "_size"), borders, [*keys, "_bin"])
+    # A bin goes on with the tile of the bin before it unless it starts a step; a group has two steps per tile at most.
+    before = F.lag(F.struct("_tile", "_split")).over(so_far)
+    starts = F.col("_split") | before.isNull() | before["_split"] | (before["_tile"] != F.col("_tile"))
+    step = F.when(starts, F.struct("_bin", "_tile", "_split", "_start"))
+    steps = spans.withColumn("_step", step).groupBy(*keys).agg(
+        F.sort_array(F.collect_list("_step")).alias("_steps"), F.max(F.when(F.col("_split"), F.col("_n"))).alias("_most")
+    )
+    steps = durable(steps, "tile-steps")
+    own = F.element_at(F.filter("_steps", lambda s: s["_bin"] <= F.col("_bin")), -1)
+    placed = attach_group_values(binned.drop("_low", "_high"), steps.drop("_most"), keys).withColumn("_own", own)
+    placed = placed.withColumn("_split", F.col("_own._split"))
 
     order = [F.desc(score), F.asc(row_id)]
     split = placed.where("_split")
-    if borders.where(F.col("_split") & (F.col("_n") > hot_rows)).isEmpty():
+    if steps.where(F.col("_most") > hot_rows).isEmpty():
         within = Window.partitionBy(*keys, "_bin").orderBy(*order)
         ranked = split.withColumn("_rank", F.row_number().over(within))
     else:
         ranked = row_numbers(split, [*keys, "_bin"], order, "_rank", hot_rows)
-    border_tile = tile_of(F.col("_start") + F.col("_rank"), F.col("_size"), tiles)
-    whole = placed.where(~F.col("_split")).withColumn(name, F.col("_tile"))
-    parted = ranked.withColumn(name, border_tile)
-    return whole.select(*df.columns, name).unionByName(parted.select(*df.columns, name))
+    border_tile = tile_of(F.col("_own._start") + F.col("_rank"), F.col("_size"), tiles)
+    whole = placed.where(~F.col("_split")).withColumn(name, F.col("_own._tile"))
+    ranked = ranked.withColumn(name, border_tile)
+    return whole.select(*df.columns, name).unionByName(ranked.select(*df.columns, name))
 
 
 def decile_accuracy(
     df: DataFrame, keys: list[str], score: str, row_id: str, prediction: str, label: str, hot_rows: int = HOT_ROWS
 ) -> DataFrame:
-    """Rows and accuracy per group and score decile; decile 1 holds the highest scores."""
+    """Rows and accuracy per group and score decile; decile 1 holds the highest scores.
+
+    The needed columns are stored first, so a model that gives the scores runs once.
+    """
     needed = list(dict.fromkeys([*keys, score, row_id, prediction, label]))
-    tiled = with_tiles(df.select(*needed), keys, score, row_id, hot_rows=hot_rows)
+    tiled = with_tiles(durable(df.select(*needed), "scored"), keys, score, row_id, hot_rows=hot_rows)
     return accuracy(tiled, [*keys, "decile"], prediction, label)

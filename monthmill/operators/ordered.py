@@ -15,17 +15,11 @@ from functools import reduce
 
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
-from monthmill.session import durable
+from monthmill.session import durable, small_side
 
 HOT_ROWS = 5_000_000
 CHUNK_ROWS = 2_000_000
 
-# More chunks would cost the shuffle more in bookkeeping than they save; they grow instead.
-MOST_CHUNKS = 20_000
-
-# A key outside the 10,000 largest holds at most a ten-thousandth of the rows.
-HOT_KEYS = 10_000
-
 _CHUNK = "_chunk"
 
 
@@ -53,29 +47,42 @@ def row_numbers(
 
 
 def with_previous(
-    df: DataFrame, keys: list[str], order: list[str], column: str, name: str, hot_rows: int = HOT_ROWS
+    df: DataFrame,
+    keys: list[str],
+    order: list[str],
+    column: str,
+    name: str,
+    hot_rows: int = HOT_ROWS,
+    known: bool = False,
 ) -> DataFrame:
-    """Add the value that ``column`` has in the row before, NULL in the first row of a group."""
+    """Add the value that ``column`` has in the row before, NULL in the first row of a group.
+
+    With ``known`` it is the last value before the row that is not NULL.
+    """
+
+    def before(*extra: str) -> Column:
+        window = Window.partitionBy(*keys, *extra).orderBy(*order)
+        if not known:
+            return F.lag(column).over(window)
+        return F.last(column, ignorenulls=True).over(window.rowsBetween(Window.unboundedPreceding, -1))
 
     def previous(rows: DataFrame) -> DataFrame:
-        return rows.withColumn(name, F.lag(column).over(Window.partitionBy(*keys).orderBy(*order)))
+        return rows.withColumn(name, before())
 
     def previous_in_chunks(rows: DataFrame, size: int) -> DataFrame:
         chunks = _chunks(rows, keys, order, size, hot_rows)
+        at = F.struct(*order)
+        if known:
+            at = F.when(F.col(column).isNotNull(), at)
+        # The outer struct tells a chunk without a value from one whose last value is NULL.
+        lasts = chunks.groupBy(*keys, _CHUNK).agg(F.max_by(F.struct(column), at).alias("_last"))
+        earlier = Window.partitionBy(*keys).orderBy(_CHUNK).rowsBetween(Window.unboundedPreceding, -1)
+        last = F.last("_last", ignorenulls=True).over(earlier)
+        carried = lasts.select(*keys, _CHUNK, last[column].alias("_carried"))
         inside = Window.partitionBy(*keys, _CHUNK).orderBy(*order)
-        carried = (
-            chunks.groupBy(*keys, _CHUNK)
-            .agg(F.max_by(F.struct(column), F.struct(*order)).alias("_last"))
-            .select(
-                *keys,
-                _CHUNK,
-                F.lag("_last").over(Window.partitionBy(*keys).orderBy(_CHUNK))[column].alias("_carried"),
-            )
-        )
-        local = chunks.withColumn("_first", F.row_number().over(inside) == 1).withColumn(
-            name, F.lag(column).over(inside)
-        )
-        value = F.when(F.col("_first"), F.col("_carried")).otherwise(F.col(name))
+        local = chunks.withColumn("_first", F.row_number().over(inside) == 1).withColumn(name, before(_CHUNK))
+        missing = F.col(name).isNull() if known else F.col("_first")
+        value = F.when(missing, F.col("_carried")).otherwise(F.col(name))
         return _with_carried(local, carried, keys).withColumn(name, value).drop("_carried", "_first", _CHUNK)
 
     return _by_group_size(df, keys, hot_rows, previous, previous_in_chunks)
@@ -107,20 +114,21 @@ def forward_fill(
     return _by_group_size(df, keys, hot_rows, fill, fill_chunks)
 
 
-def hot_groups(df: DataFrame, keys: list[str], hot_rows: int) -> dict[int, int]:
-    """Hash of the keys and number of rows of the groups above ``hot_rows``, at most ``HOT_KEYS``.
+def hot_groups(df: DataFrame, keys: list[str], hot_rows: int) -> DataFrame:
+    """``tag, n``: hash of the keys and number of rows of all groups above ``hot_rows``, stored.
 
     The counts are pre-aggregated before their shuffle. Keys that share a
     hash are counted together, which only makes them hot a little sooner.
     """
-    found = (
-        df.groupBy(F.xxhash64(*keys).alias("tag"))
-        .agg(F.count("*").alias("n"))
-        .where(F.col("n") > hot_rows)
-        .orderBy(F.desc("n"))
-        .limit(HOT_KEYS)
-    )
-    return {row.tag: row.n for row in found.collect()}
+    counts = df.groupBy(F.xxhash64(*keys).alias("tag")).agg(F.count("*").alias("n"))
+    return durable(counts.where(F.col("n") > hot_rows), "hot-groups")
+
+
+def parted(df: DataFrame, keys: list[str], hot: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """The rows of all other groups, and those of the hot ones."""
+    tags = small_side(hot.select(F.col("tag").alias("_tag")))
+    tagged = df.withColumn("_tag", F.xxhash64(*keys))
+    return tagged.join(tags, "_tag", "left_anti").drop("_tag"), tagged.join(tags, "_tag", "left_semi").drop("_tag")
 
 
 def same_keys(left: DataFrame, right: DataFrame, pairs: list[tuple[str, str]]) -> Column:
@@ -136,20 +144,22 @@ def _by_group_size(
     chunked: Callable[[DataFrame, int], DataFrame],
 ) -> DataFrame:
     hot = hot_groups(df, keys, hot_rows)
-    if not hot:
+    size = hot.agg(F.sum("n")).first()[0]
+    if not size:
         return plain(df)
-    is_hot = F.xxhash64(*keys).isin(list(hot))
-    return plain(df.where(~is_hot)).unionByName(chunked(df.where(is_hot), sum(hot.values())))
+    cold_rows, hot_ones = parted(df, keys, hot)
+    return plain(cold_rows).unionByName(chunked(hot_ones, size))
 
 
 def _chunks(df: DataFrame, keys: list[str], order: list, size: int, hot_rows: int) -> DataFrame:
     """Number the range partitions. They are stored, since a second run could cut elsewhere."""
-    parts = min(max(2, math.ceil(size / min(CHUNK_ROWS, hot_rows))), MOST_CHUNKS)
-    return durable(df.repartitionByRange(parts, *keys, *order).withColumn(_CHUNK, F.spark_partition_id()))
+    parts = max(2, math.ceil(size / min(CHUNK_ROWS, hot_rows)))
+    return durable(df.repartitionByRange(parts, *keys, *order).withColumn(_CHUNK, F.spark_partition_id()), "chunks")
 
 
 def _with_carried(chunks: DataFrame, carried: DataFrame, keys: list[str]) -> DataFrame:
-    """Join the carried values. There is at most one row per hot key and chunk, so they are broadcast."""
+    """Join the carried values, about one row per chunk and hot key."""
     renamed = carried.select(*[F.col(k).alias(f"_of_{k}") for k in [*keys, _CHUNK]], "_carried")
+    renamed = durable(renamed, "carried")
     on = same_keys(chunks, renamed, [(k, f"_of_{k}") for k in [*keys, _CHUNK]])
-    return chunks.join(F.broadcast(renamed), on, "left").drop(*[f"_of_{k}" for k in [*keys, _CHUNK]])
+    return chunks.join(small_side(renamed), on, "left").drop(*[f"_of_{k}" for k in [*keys, _CHUNK]])

@@ -26,18 +26,16 @@ def _finished(spark: SparkSession, stream: DataFrame) -> DataFrame:
 
 @query(
     """
-    WITH w AS (
-        SELECT time_bucket(INTERVAL 30 SECOND, ts) AS window_start, event_type, count(*) AS n,
-            round(sum(value), 2) AS total, max(value) AS largest
-        FROM events GROUP BY 1, 2)
-    SELECT * FROM w WHERE window_start + INTERVAL 30 SECOND
-        <= (SELECT date_trunc('millisecond', max(ts)) - INTERVAL 1 HOUR FROM events)
+    SELECT time_bucket(INTERVAL 30 SECOND, ts) AS window_start, event_type, count(*) AS n,
+        round(sum(value), 2) AS total, max(value) AS largest
+    FROM events GROUP BY 1, 2
     """
 )
 def stream_stats(spark: SparkSession, folder: str) -> DataFrame:
-    """Statistics per type and 30 seconds; windows still open at the end are not emitted."""
-    stats = jobs.window_stats(_stream(spark, folder, "events"), "ts", ["event_type"], "value")
-    return _finished(spark, stats).withColumn("total", F.round("total", 2))
+    """Statistics per type and 30 seconds, of all windows."""
+    base = scratch_path(spark, "stream")
+    jobs.fold_available(_stream(spark, folder, "events"), "ts", ["event_type"], "value", f"{base}/out", f"{base}/checkpoint")
+    return jobs.folded(spark, f"{base}/out", {"event_type": "string"}).withColumn("total", F.round("total", 2))
 
 
 @query(
@@ -55,18 +53,17 @@ def stream_day_slice(spark: SparkSession, folder: str) -> DataFrame:
     """
     WITH r AS (
         SELECT date_trunc('millisecond', ts) AS ts, '/d/u' || user_id || '.py' AS source,
-            CASE WHEN event_type IN ('click', 'purchase') THEN value END AS took FROM events),
-    w AS (
-        SELECT time_bucket(INTERVAL 30 SECOND, ts) AS window_start, source, count(*) AS n,
-            round(sum(took), 2) AS total, max(took) AS largest
-        FROM r GROUP BY 1, 2)
-    SELECT * FROM w WHERE window_start + INTERVAL 30 SECOND
-        <= (SELECT date_trunc('millisecond', max(ts)) - INTERVAL 1 HOUR FROM events)
+            CASE WHEN event_type IN ('click', 'purchase') THEN value END AS took FROM events)
+    SELECT time_bucket(INTERVAL 30 SECOND, ts) AS window_start, source, count(*) AS n,
+        round(sum(took), 2) AS total, max(took) AS largest
+    FROM r GROUP BY 1, 2
     """
 )
 def stream_log_stats(spark: SparkSession, folder: str) -> DataFrame:
     """Log records and durations per pipeline file and 30 seconds, from arriving log files."""
     path = scratch_path(spark, "log")
     event_log(spark, folder).write.text(path)
-    stats = jobs.window_stats(jobs.arriving_logs(spark, path), "ts", ["source"], "took")
-    return _finished(spark, stats).withColumn("total", F.round("total", 2))
+    base = scratch_path(spark, "stream")
+    logs = jobs.arriving_logs(spark, path)
+    jobs.fold_available(logs, "ts", ["source"], "took", f"{base}/out", f"{base}/checkpoint", prepare=jobs.log_batch)
+    return jobs.folded(spark, f"{base}/out", {"source": "string"}).withColumn("total", F.round("total", 2))

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from monthmill.operators.ordered import HOT_ROWS, forward_fill, with_previous
-from monthmill.session import durable
+from monthmill.session import durable, small_side
 
 # A record starts with its time in square brackets. The separator opens
 # a record; the scan takes it off all records of a file but the first.
@@ -44,17 +44,26 @@ def log_pieces(spark: SparkSession, path: str) -> DataFrame:
 
 
 def log_records(spark: SparkSession, path: str) -> DataFrame:
-    """Whole records: ``file, record``, the record with its continuation lines.
+    """Whole records: ``file, record``, the record with its continuation lines. See ``assembled``."""
+    return assembled(log_pieces(spark, path))
 
-    A continuation line that itself begins like a separator makes a piece
-    that is no record. If there is any, the pieces of the files are joined
-    again in file order. Times before the year 2000 are not recognised.
+
+def assembled(pieces: DataFrame) -> DataFrame:
+    """``file, record`` from ``file, block, place, piece``.
+
+    A continuation line that itself begins like a separator makes a piece that
+    is no record. Only the files that have one are stored and joined again in
+    file order; all others go straight through. Times before the year 2000 are
+    not recognised.
     """
-    pieces = log_pieces(spark, path)
     piece = F.col("piece")
-    if pieces.where(~piece.rlike(FIRST_PIECE) & ~piece.rlike(LATER_PIECE)).isEmpty():
+    stray = pieces.where(~piece.rlike(FIRST_PIECE) & ~piece.rlike(LATER_PIECE))
+    files = durable(stray.select("file").distinct(), "stray-files")
+    if files.isEmpty():
         return pieces.select("file", restored(piece).alias("record"))
-    return joined_pieces(durable(pieces))
+    files = small_side(files)
+    whole = pieces.join(files, "file", "left_anti").select("file", restored(piece).alias("record"))
+    return whole.unionByName(joined_pieces(durable(pieces.join(files, "file", "left_semi"), "stray-pieces")))
 
 
 def joined_pieces(pieces: DataFrame, hot_rows: int = HOT_ROWS) -> DataFrame:

@@ -2,10 +2,12 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
 
 from monthmill.operators.logs import log_fields, measured
-from monthmill.sources.logfiles import SEPARATOR, restored
+from monthmill.sources.logfiles import SEPARATOR, assembled
 
 
 def arriving_files(
@@ -26,17 +28,69 @@ def arriving_files(
 
 
 def arriving_logs(spark: SparkSession, folder: str, files_per_batch: int | None = None) -> DataFrame:
-    """A stream of the log records in arriving files, with their fields and measures.
-
-    Files are cut at the record separator as in a batch read. A continuation
-    line that looks like a separator becomes a record without a time, which no
-    window counts.
-    """
+    """A stream of the pieces of arriving log files, ``file, block, piece``; ``log_batch`` makes records of a batch."""
     reader = spark.readStream.option("lineSep", SEPARATOR).option("recursiveFileLookup", True)
     if files_per_batch:
         reader = reader.option("maxFilesPerTrigger", files_per_batch)
-    records = reader.text(folder).select(restored(F.col("value")).alias("record"))
-    return measured(log_fields(records))
+    file = F.col("_metadata.file_path").alias("file")
+    return reader.text(folder).select(file, F.col("_metadata.file_block_start").alias("block"), F.col("value").alias("piece"))
+
+
+def log_batch(pieces: DataFrame) -> DataFrame:
+    """The records of the files of one batch, assembled as in a batch read, with their fields and measures."""
+    return measured(log_fields(assembled(pieces.withColumn("place", F.monotonically_increasing_id()))))
+
+
+def fold_available(
+    stream: DataFrame,
+    moment: str,
+    keys: list[str],
+    value: str,
+    output: str,
+    checkpoint: str,
+    length: str = "30 seconds",
+    prepare: Callable[[DataFrame], DataFrame] = lambda batch: batch,
+) -> None:
+    """Add what has arrived to the statistics per key and tumbling window below ``output``, and stop.
+
+    Every batch writes the partial statistics of its own rows, in a folder of
+    its number, so a batch that runs twice counts once. There is no state and
+    no watermark: late rows are one more part, whatever the order of the files.
+    ``folded`` gives the statistics.
+    """
+
+    def fold(batch: DataFrame, number: int) -> None:
+        part = _window_parts(prepare(batch), moment, keys, value, length)
+        part.write.mode("overwrite").parquet(f"{output}/batch={number}")
+
+    query = (
+        stream.writeStream.foreachBatch(fold)
+        .option("checkpointLocation", checkpoint)
+        .trigger(availableNow=True)
+        .start()
+    )
+    query.awaitTermination()
+
+
+def folded(spark: SparkSession, output: str, keys: dict[str, str]) -> DataFrame:
+    """Rows, sum and maximum per key and window of all that arrived so far. ``keys`` gives the columns' types."""
+    typed = ", ".join(f"`{k}` {t}" for k, t in keys.items())
+    schema = f"window_start timestamp_ntz, {typed}, n long, total double, largest double"
+    parts = spark.read.schema(schema).parquet(output)
+    return parts.groupBy("window_start", *keys).agg(
+        F.sum("n").alias("n"), F.sum("total").alias("total"), F.max("largest").alias("largest")
+    )
+
+
+def _window_parts(rows: DataFrame, moment: str, keys: list[str], value: str, length: str) -> DataFrame:
+    timed = rows.withColumn("_at", F.col(moment).cast("timestamp")).where(F.col("_at").isNotNull())
+    number = F.col(value).cast("double")
+    stats = timed.groupBy(F.window("_at", length), *keys).agg(
+        F.count("*").alias("n"), F.sum(number).alias("total"), F.max(number).alias("largest")
+    )
+    return stats.select(
+        F.col("window.start").cast("timestamp_ntz").alias("window_start"), *keys, "n", "total", "largest"
+    )
 
 
 def window_stats(
@@ -44,8 +98,9 @@ def window_stats(
 ) -> DataFrame:
     """Rows, sum and maximum per key and tumbling window.
 
-    Rows that come later than ``delay`` behind the newest are dropped, so the
-    state holds only the windows still open.
+    For sinks that take closed windows only: rows that come later than ``delay``
+    behind the newest are dropped and open windows wait. ``fold_available``
+    loses nothing.
     """
     timed = stream.withColumn("_at", F.col(moment).cast("timestamp")).withWatermark("_at", delay)
     stats = timed.groupBy(F.window("_at", length), *keys).agg(

@@ -119,7 +119,7 @@ def test_lookups(spark):
 
 @pytest.mark.parametrize("how", ["left_semi", "left", "inner"])
 def test_hot_keys_of_a_large_lookup_stay_in_place(spark, monkeypatch, how):
-    monkeypatch.setattr(lookups, "BROADCAST_ROWS", 5)
+    monkeypatch.setattr(lookups, "BROADCAST_BYTES", 5)
     pick = random.Random(4)
     data = [(i, pick.choices([1, None, *range(2, 30)], [40, 30, *[1] * 28])[0]) for i in range(800)]
     df = spark.createDataFrame(data, "id int, k int")
@@ -130,7 +130,7 @@ def test_hot_keys_of_a_large_lookup_stay_in_place(spark, monkeypatch, how):
 
 
 def test_hot_keys_of_another_type_and_repeated_entries(spark, monkeypatch):
-    monkeypatch.setattr(lookups, "BROADCAST_ROWS", 0)
+    monkeypatch.setattr(lookups, "BROADCAST_BYTES", 0)
     df = spark.createDataFrame([(i, 1) for i in range(100)] + [(200, 2)], "id int, k int")
     wide = spark.createDataFrame([(1,), (1,), (2,)], "k long")
     assert lookups.keep_listed(df, wide, "k", hot_rows=50).count() == 101
@@ -145,9 +145,9 @@ def test_single_carrier_of_a_hot_user(spark):
     assert rows(features.keep_single_carrier(df, "u", "c", hot_rows=40)) == expected
 
 
-@pytest.mark.parametrize("limit", [0, 100])
+@pytest.mark.parametrize("limit", [0, 10_000])
 def test_group_values_join_null_keys_on_both_ways(spark, monkeypatch, limit):
-    monkeypatch.setattr(lookups, "BROADCAST_ROWS", limit)
+    monkeypatch.setattr(lookups, "BROADCAST_BYTES", limit)
     df = spark.createDataFrame([(1, "x"), (2, None), (3, "z")], "id int, k string")
     values = spark.createDataFrame([("x", 10), (None, 20)], "k string, v int")
     joined = lookups.attach_group_values(df, values, ["k"])
@@ -159,3 +159,10 @@ def test_class_weights(spark):
     target = spark.createDataFrame([("MY", "a", 0.75), ("MY", "b", 0.25), ("TH", "a", 1.0)], "market string, class string, target_share double")
     weights = shares.class_weights(shares.class_shares(users, "market", "class"), target, "market", "class")
     assert {(r.market, r["class"]): r.weight for r in weights.collect()} == {("MY", "a"): 1.5, ("MY", "b"): 0.5, ("TH", "a"): 1.0}
+
+
+@pytest.mark.parametrize("hot_rows", [2, 1000])
+def test_switches_pass_over_missing_carriers(spark, hot_rows):
+    data = [(1, 1, "A"), (1, 2, None), (1, 3, "B"), (1, 4, None), (1, 5, None), (1, 6, "B"), (1, 7, "A"), (2, 1, None), (2, 2, None), (2, 3, None)]
+    df = spark.createDataFrame(data, "u int, t int, c string")
+    assert rows(features.carrier_switches(df, "u", ["t"], "c", hot_rows)) == [(1, 2), (2, 0)]

@@ -46,14 +46,31 @@ def test_forward_fill(skewed):
 
 def test_hot_groups_are_found_and_spread(skewed):
     hot = ordered.hot_groups(skewed, ["k"], HOT)
-    assert len(hot) == 2
+    assert hot.count() == 2
     chunks = ordered._chunks(skewed.where("k = 'hot'"), ["k"], ["t", "id"], 2400, HOT)
     sizes = [r["count"] for r in chunks.groupBy("_chunk").count().collect()]
     assert len(sizes) >= 4 and max(sizes) < 1500
 
 
 def test_no_hot_group_leaves_a_plain_window(skewed):
-    assert ordered.hot_groups(skewed, ["k"], 10_000) == {}
+    assert ordered.hot_groups(skewed, ["k"], 10_000).isEmpty()
     got = ordered.with_previous(skewed, ["k"], ["t", "id"], "v", "before")
     expected = skewed.withColumn("before", F.lag("v").over(Window.partitionBy("k").orderBy("t", "id")))
     assert rows(got) == rows(expected)
+
+
+def test_any_number_of_hot_groups_is_split(spark):
+    many = spark.range(33_000).select((F.col("id") % 11_000).alias("k"), "id")
+    hot = ordered.hot_groups(many, ["k"], 2)
+    cold, rest = ordered.parted(many, ["k"], hot)
+    assert hot.count() == 11_000 and cold.isEmpty() and rest.count() == 33_000
+    df = spark.range(480).select((F.col("id") % 40).alias("k"), "id")
+    got = ordered.with_previous(df, ["k"], ["id"], "id", "before", 11)
+    expected = df.withColumn("before", F.lag("id").over(Window.partitionBy("k").orderBy("id")))
+    assert rows(got) == rows(expected)
+
+
+def test_last_known_value(skewed):
+    got = ordered.with_previous(skewed, ["k"], ["t", "id"], "v", "before", HOT, known=True)
+    window = Window.partitionBy("k").orderBy("t", "id").rowsBetween(Window.unboundedPreceding, -1)
+    assert rows(got) == rows(skewed.withColumn("before", F.last("v", ignorenulls=True).over(window)))

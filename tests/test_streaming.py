@@ -65,3 +65,34 @@ def test_a_second_run_takes_only_what_is_new(spark, tmp_path, files):
     got = run(spark, tmp_path, slice_, files_per_batch=files)
     assert rows(got) == [(i, "2022-08-28") for i in (1, 3, 4)]
     assert rows(got) == rows(slice_(spark.read.parquet(str(tmp_path / "in"))))
+
+
+def test_files_out_of_time_order_lose_nothing(spark, tmp_path):
+    folder, out = str(tmp_path / "in"), str(tmp_path / "parts")
+    schema = spark.createDataFrame([], SCHEMA).schema
+    for day in (3, 1, 2, 4):
+        add_file(spark, folder, [(day, day * 86400, "f", float(day)), (day, day * 86400 + 1, "g", None)])
+        source = jobs.arriving_files(spark, folder, schema, "*.parquet")
+        jobs.fold_available(source, "ts", ["file"], "took", out, str(tmp_path / "cp"))
+    late = [(9, 86400 + 2, "f", 10.0)]
+    add_file(spark, folder, late)
+    jobs.fold_available(jobs.arriving_files(spark, folder, schema, "*.parquet"), "ts", ["file"], "took", out, str(tmp_path / "cp"))
+    got = {(r.window_start, r.file): (r.n, r.total, r.largest) for r in jobs.folded(spark, out, {"file": "string"}).collect()}
+    assert len(got) == 8
+    assert got[START + datetime.timedelta(days=1), "f"] == (2, 11.0, 10.0)
+    assert got[START + datetime.timedelta(days=4), "g"] == (1, None, None)
+
+
+def test_stream_assembles_records_as_a_batch_does(spark, tmp_path):
+    from monthmill.sources.logfiles import log_records
+
+    folder, out = tmp_path / "log", str(tmp_path / "parts")
+    folder.mkdir()
+    head = "[2022-08-28T09:00:0%d.000+0000] {processor.py:161} INFO - Processing /d/a.py took %s seconds"
+    (folder / "a.log").write_text("\n".join([head % (1, "1.5"), "[2 a line that looks like a separator", head % (2, "2.5")]))
+    (folder / "b.log").write_text("\n".join([head % (3, "3.0"), "  plain continuation"]))
+    jobs.fold_available(jobs.arriving_logs(spark, str(folder)), "ts", ["source"], "took", out, str(tmp_path / "cp"), prepare=jobs.log_batch)
+    got = [(r.n, r.total, r.largest) for r in jobs.folded(spark, out, {"source": "string"}).collect()]
+    assert got == [(3, 7.0, 3.0)]
+    records = sorted(r.record.count("\n") for r in log_records(spark, str(folder)).collect())
+    assert records == [0, 1, 1]

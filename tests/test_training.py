@@ -84,6 +84,14 @@ def test_tiles_equal_ntile(spark, kind, hot_rows):
     assert rows(got) == rows(expected)
 
 
+def test_deciles_of_many_groups_shuffle_only_border_bins(spark):
+    df = spark.range(40_000).select("id", (F.col("id") % 100).alias("g"), F.rand(3).alias("s"))
+    got = metrics.with_tiles(df, ["g"], "s", "id")
+    assert "SortMergeJoin" not in plan(got) and "ShuffledHashJoin" not in plan(got)
+    counts = got.groupBy("g", "decile").count()
+    assert counts.count() == 1000 and counts.where("count <> 40").isEmpty()
+
+
 def test_quality_gate(spark):
     df = spark.createDataFrame([("a", 1, 1)] * 9 + [("a", 0, 1)] + [("b", 1, 1), ("b", None, 1)], "m string, p int, y int")
     assert rows(metrics.quality_gate(df, ["m"], "p", "y")) == [("a", 10, 0.9, "accurate"), ("b", 2, 0.5, "inaccurate")]
