@@ -6,10 +6,14 @@ and the historical fallback, boosted trees for the second.
 
 from __future__ import annotations
 
+from functools import reduce
+from multiprocessing.pool import ThreadPool
+
+from pyspark import inheritable_thread_target
 from pyspark.ml import Pipeline, PipelineModel
 from pyspark.ml.base import Estimator
 from pyspark.ml.classification import GBTClassifier, LogisticRegression, OneVsRest
-from pyspark.ml.feature import StringIndexer, VectorAssembler
+from pyspark.ml.feature import PCA, OneHotEncoder, StandardScaler, StringIndexer, VectorAssembler
 from pyspark.ml.functions import vector_to_array
 from pyspark.sql import DataFrame, functions as F
 
@@ -20,6 +24,8 @@ from monthmill.sinks.files import model_path
 MAX_BIN = 50
 MAX_DEPTH = 7
 
+MARKETS_AT_A_TIME = 4
+
 
 def logistic(label: str, features: str = "features", weight: str | None = None, iterations: int = 50) -> Estimator:
     model = LogisticRegression(featuresCol=features, labelCol=label, maxIter=iterations)
@@ -39,14 +45,32 @@ def boosted(
     return trees.setWeightCol(weight) if weight else trees
 
 
-def assembled(numbers: list[str], estimator: Estimator, categories: list[str] | None = None) -> Pipeline:
-    """A pipeline from plain columns; unseen categories get an index of their own."""
-    names = categories or []
-    indexed = [f"{c}_index" for c in names]
+def assembled(
+    numbers: list[str],
+    estimator: Estimator,
+    categories: list[str] | None = None,
+    scale: bool = False,
+    components: int = 0,
+) -> Pipeline:
+    """A pipeline from plain columns; categories become indicators, unseen ones an indicator of their own.
+
+    ``scale`` moves each feature to mean 0 and deviation 1, ``components`` puts
+    so many principal components in their place.
+    """
+    categories = categories or []
+    indexed, shown = [f"{c}_index" for c in categories], [f"{c}_shown" for c in categories]
     stages: list = []
-    if names:
-        stages.append(StringIndexer(inputCols=names, outputCols=indexed, handleInvalid="keep"))
-    stages.append(VectorAssembler(inputCols=[*numbers, *indexed], outputCol="features", handleInvalid="error"))
+    if categories:
+        stages.append(StringIndexer(inputCols=categories, outputCols=indexed, handleInvalid="keep"))
+        # Indicators: an index is no number for a linear model, and a small market has fewer rows than categories.
+        stages.append(OneHotEncoder(inputCols=indexed, outputCols=shown, dropLast=False, handleInvalid="keep"))
+    # The assembler's output passes the wanted stages; the last of them gives ``features``.
+    wanted = [StandardScaler(withMean=True)] if scale else []
+    wanted += [PCA(k=components)] if components else []
+    names = [f"_features_{i}" for i in range(len(wanted))] + ["features"]
+    stages.append(VectorAssembler(inputCols=[*numbers, *shown], outputCol=names[0], handleInvalid="error"))
+    for stage, before, after in zip(wanted, names, names[1:]):
+        stages.append(stage.setInputCol(before).setOutputCol(after))
     return Pipeline(stages=[*stages, estimator])
 
 
@@ -59,14 +83,14 @@ def train(df: DataFrame, pipeline: Pipeline | Estimator) -> PipelineModel:
 def score(df: DataFrame, model: PipelineModel) -> DataFrame:
     """Predict (mode ``score``) and keep every input column.
 
-    ``score`` is the probability of the predicted class where the model has
-    one, else NULL.
+    ``score`` is the probability of the predicted class. One model per class
+    gives margins instead; the largest is put on the scale of a probability.
     """
     out = model.transform(df)
     if "probability" in out.columns:
         certainty = F.array_max(vector_to_array("probability"))
     else:
-        certainty = F.lit(None).cast("double")
+        certainty = 1 / (1 + F.exp(-2 * F.array_max(vector_to_array("rawPrediction"))))
     return out.select(*df.columns, "prediction", certainty.alias("score"))
 
 
@@ -74,9 +98,16 @@ def stored_model(base: str, market: str, model_type: str, month: str) -> Pipelin
     return PipelineModel.load(model_path(base, market, model_type, month))
 
 
-def train_markets(df: DataFrame, markets: list[str], pipeline: Pipeline, market: str = "market") -> dict[str, PipelineModel]:
+def _train_each(df: DataFrame, pipelines: dict[str, Pipeline], market: str) -> dict[str, PipelineModel]:
+    """Fit several markets at a time; a fit of a small market leaves most of a cluster idle."""
+    fit = inheritable_thread_target(df.sparkSession)(lambda name: train(df.where(F.col(market) == name), pipelines[name].copy()))
+    with ThreadPool(MARKETS_AT_A_TIME) as pool:
+        return dict(zip(pipelines, pool.map(fit, pipelines)))
+
+
+def train_markets(df: DataFrame, markets: list[str], pipeline: Pipeline | Estimator, market: str = "market") -> dict[str, PipelineModel]:
     """One model per configured market, each fitted on the rows of its market."""
-    return {name: train(df.where(F.col(market) == name), pipeline) for name in markets}
+    return _train_each(df, {name: pipeline for name in markets}, market)
 
 
 def train_routed(df: DataFrame, label: str, pipelines: dict[str, Pipeline], market: str = "market") -> dict[str, PipelineModel]:
@@ -89,7 +120,25 @@ def train_routed(df: DataFrame, label: str, pipelines: dict[str, Pipeline], mark
     seen = df.where(F.col(market).isin(list(variants))).groupBy(market)
     spans = seen.agg(F.min(label).alias("low"), F.max(label).alias("high")).where("low < high")
     trainable = sorted(row[market] for row in spans.collect())
-    return {name: train(df.where(F.col(market) == name), pipelines[variants[name]]) for name in trainable}
+    return _train_each(df, {name: pipelines[variants[name]] for name in trainable}, market)
+
+
+def train_types(
+    df: DataFrame, pipelines: dict[str, dict[str, Pipeline]], market: str = "market"
+) -> dict[str, dict[str, PipelineModel]]:
+    """Models by model type and market. ``pipelines`` gives, per type, the pipeline of each variant; a type's label has its name."""
+    return {kind: train_routed(df.where(F.col(kind).isNotNull()), kind, routed, market) for kind, routed in pipelines.items()}
+
+
+def score_types(
+    df: DataFrame,
+    models: dict[str, dict[str, PipelineModel]],
+    fallbacks: dict[str, PipelineModel],
+    market: str = "market",
+) -> DataFrame:
+    """Every row once per model type, with ``model_type``, ``prediction`` and ``score``."""
+    parts = [score_markets(df, models[kind], fallbacks[kind], market).withColumn("model_type", F.lit(kind)) for kind in fallbacks]
+    return reduce(DataFrame.unionByName, parts)
 
 
 def score_markets(

@@ -7,6 +7,7 @@ from pyspark.ml.functions import vector_to_array
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from monthmill.operators.lookups import attach_group_values
+from monthmill.operators.ordered import row_numbers
 from monthmill.session import durable
 
 # Fixed value: the weight of the positive class.
@@ -70,7 +71,7 @@ def pick_per_class(df: DataFrame, klass: str, row_id: str, rows: int | None) ->
     ``rows`` is the size of the smallest class if not given; ``row_id`` must be unique.
     Classes are large, so they are not sorted: counts per leading digits of the
     md5 tell which parts are kept whole. Only the one part in which a class's
-    cut lies, 1/65,536 of the class, is ranked row by row.
+    cut lies, 1/65,536 of the class, is ranked row by row, in chunks if it is large.
     """
     tag = F.md5(F.col(row_id).cast("string"))
     tagged = df.withColumn("_tag", tag).withColumn("_part", F.substring("_tag", 1, _PREFIX))
@@ -90,7 +91,7 @@ def pick_per_class(df: DataFrame, klass: str, row_id: str, rows: int | None) ->
     placed = attach_group_values(tagged, durable(cuts), [klass])
     whole = placed.where(F.col("_cut").isNull() | (F.col("_part") < F.col("_cut")))
     edge = placed.where(F.col("_part") == F.col("_cut"))
-    ranked = edge.withColumn("_rank", F.row_number().over(Window.partitionBy(klass).orderBy("_tag", row_id)))
+    ranked = row_numbers(edge, [klass], [F.col("_tag"), F.col(row_id)], "_rank")
     kept = ranked.where(F.col("_rank") <= F.col("_left"))
     return whole.select(*df.columns).unionByName(kept.select(*df.columns))
 
@@ -100,6 +101,15 @@ def with_class_weight(df: DataFrame, label: str, weight: float = SCALE_POS_WEIGH
     return df.withColumn("weight", F.when(F.col(label) == 1, weight).otherwise(1.0))
 
 
+def training_rows(
+    df: DataFrame, label: str, row_id: str, upsampled: bool = False, balanced: bool = False, weight: float | None = None
+) -> DataFrame:
+    """The rows a training gets by its options: small classes repeated, all cut to the smallest, the positive one weighted."""
+    rows = upsample(df, label).drop("copy") if upsampled else df
+    rows = balance(rows, label, row_id) if balanced else rows
+    return rows if weight is None else with_class_weight(rows, label, weight)
+
+
 def with_split(df: DataFrame, row_id: str, train_percent: int = 80) -> DataFrame:
     """Add ``part``, train or test. It depends on the id alone, so a row never changes sides."""
     digits = F.substring(F.md5(F.col(row_id).cast("string")), 1, 8)

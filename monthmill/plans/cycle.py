@@ -3,19 +3,27 @@
 from __future__ import annotations
 
 import datetime
+import uuid
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from monthmill.functions import documents
 from monthmill.operators import features, metrics, models
+from monthmill.operators.routing import FIRST_VARIANT_MARKETS, SECOND_VARIANT_MARKETS, routes
 from monthmill.operators.slices import day_slice
 from monthmill.plans.registry import query
-from monthmill.plans.stand_ins import MARKET_SQL, REFERENCE_MONTH, REQUEST_ORDER, user_markets
+from monthmill.plans.stand_ins import MARKET_SQL, REFERENCE_MONTH, REQUEST_ORDER, market_code, user_markets
 from monthmill.session import durable, scratch_path
 from monthmill.sinks import files
 from monthmill.sources import tables
 
 LABEL = "is_churn"
+#: Model types and their number of classes.
+TYPE_CLASSES = {"age": 3, "gender": 2}
+
+
+def _quoted(names: list[str]) -> str:
+    return ", ".join(f"'{name}'" for name in names)
 
 
 def export_day(users: DataFrame, day: str, base: str) -> str:
@@ -43,7 +51,8 @@ def monthly_cycle(
 
     Features reach up to the month before ``month``, labels come from ``month``.
     The training set is stored by market and month and read back, so that the
-    fits do not repeat the joins. Markets are trained by their variant; the
+    fits do not repeat the joins. Users without a market take part in the model
+    over all and are scored by it. Markets are trained by their variant; the
     model over all markets is stored as the historical one and scores markets
     without training. Returns the stored predictions beside their inputs.
     """
@@ -51,13 +60,15 @@ def monthly_cycle(
     before = features.month_shift(month, -1)
     known = features.request_features(requests, user, order, carrier, before)
     labelled = features.churn_labels(requests, known, user, order[0], before)
-    rows = labelled.join(markets, user).withColumn("data_month", F.lit(month_id))
+    rows = labelled.join(markets, user, "left").withColumn("data_month", F.lit(month_id))
     plain = [f for f in rows.schema.fields if f.name not in tables.MARKET_PARTITIONS]
-    files.write_months(rows, f"{base}/training")
-    training = tables.market_months(rows.sparkSession, f"{base}/training", plain).where(F.col("data_month") == month_id)
+    # A folder of its own per run: a rerun that no longer has a market must not read its old rows.
+    run = uuid.uuid4().hex
+    files.write_months(rows, f"{base}/training/run_id={run}")
+    training = tables.market_months(rows.sparkSession, f"{base}/training/run_id={run}", plain).where(F.col("data_month") == month_id)
 
     numbers = [c for c in rows.columns if c.startswith(("brq_count_p_", "num_days_p_"))] + ["n_switches"]
-    logistic = models.assembled(numbers, models.logistic(LABEL, iterations=20), ["carrier"])
+    logistic = models.assembled(numbers, models.logistic(LABEL), ["carrier"])
     boosted = models.assembled(numbers, models.boosted(LABEL, rounds=rounds), ["carrier"])
     files.save_model(models.train(training, logistic), f"{base}/history", "all", LABEL, month_id)
     trained = models.train_routed(training, LABEL, {"v1": logistic, "v2": boosted})
@@ -65,9 +76,9 @@ def monthly_cycle(
         files.save_model(model, f"{base}/model", market, LABEL, month_id)
     historical = models.stored_model(f"{base}/history", "all", LABEL, month_id)
     scored = models.score_markets(training, trained, historical)
-    files.write_months(scored, f"{base}/prediction")
+    files.write_months(scored, f"{base}/prediction/run_id={run}")
     kept = [*plain, *[f for f in scored.schema.fields if f.name in ("prediction", "score")]]
-    return tables.market_months(rows.sparkSession, f"{base}/prediction", kept).where(F.col("data_month") == month_id)
+    return tables.market_months(rows.sparkSession, f"{base}/prediction/run_id={run}", kept).where(F.col("data_month") == month_id)
 
 
 @query(
@@ -89,9 +100,7 @@ def monthly_cycle_report(spark: SparkSession, folder: str) -> DataFrame:
     orders = tables.parquet_table(spark, folder, "orders")
     markets = user_markets(spark, folder).withColumnRenamed("user_id", "o_custkey")
     base = scratch_path(spark, "cycle")
-    scored = monthly_cycle(
-        orders, markets, "o_custkey", REQUEST_ORDER, "o_orderpriority", REFERENCE_MONTH, base, rounds=2
-    )
+    scored = monthly_cycle(orders, markets, "o_custkey", REQUEST_ORDER, "o_orderpriority", REFERENCE_MONTH, base)
     return scored.groupBy("market", "data_month").agg(
         F.count_if(F.col("prediction").isin(0.0, 1.0)).alias("n_scored"), F.sum(LABEL).alias("n_churn")
     )
@@ -102,11 +111,60 @@ def market_gates(spark: SparkSession, folder: str) -> DataFrame:
     """Accuracy of a trained model per market and whether it passes the gate."""
     orders = tables.parquet_table(spark, folder, "orders")
     before = features.month_shift(REFERENCE_MONTH, -1)
-    known = features.period_features(orders, "o_custkey", "o_orderdate", before)
+    known = features.request_features(orders, "o_custkey", REQUEST_ORDER, "o_orderpriority", before)
     rows = durable(features.churn_labels(orders, known, "o_custkey", "o_orderdate", before))
-    numbers = [c for c in known.columns if c != "o_custkey"]
-    model = models.train(rows, models.assembled(numbers, models.logistic(LABEL, iterations=20)))
+    numbers = [c for c in known.columns if c not in ("o_custkey", "carrier")]
+    model = models.train(rows, models.assembled(numbers, models.logistic(LABEL), ["carrier"]))
     markets = user_markets(spark, folder).withColumnRenamed("user_id", "o_custkey")
-    scored = models.score(rows, model).join(markets, "o_custkey")
+    scored = models.score(rows, model).join(markets, "o_custkey", "left")
     report = metrics.quality_gate(scored, ["market"], "prediction", LABEL)
     return report.withColumn("accuracy", F.round("accuracy", 6))
+
+
+@query(
+    f"""
+    WITH known AS (
+        SELECT DISTINCT o_custkey FROM orders
+        WHERE o_orderdate >= TIMESTAMP '2001-01-01' AND o_orderdate < TIMESTAMP '2001-07-01'),
+    per AS (
+        SELECT {MARKET_SQL} AS market, count(*) AS n_scored FROM known JOIN customer ON c_custkey = known.o_custkey GROUP BY 1)
+    SELECT market, model_type,
+        CASE WHEN market IN ({_quoted(FIRST_VARIANT_MARKETS)}) THEN 'v1'
+            WHEN market IN ({_quoted(SECOND_VARIANT_MARKETS)}) THEN 'v2' ELSE 'fallback' END AS variant,
+        n_scored, n_scored AS n_in_classes, n_scored AS n_with_score
+    FROM per, (VALUES ('age'), ('gender')) AS t(model_type)
+    """
+)
+def market_type_models(spark: SparkSession, folder: str) -> DataFrame:
+    """Models for age (three classes) and gender (two) per market, by the market's variant; all users scored for both."""
+    orders = tables.parquet_table(spark, folder, "orders")
+    before = features.month_shift(REFERENCE_MONTH, -1)
+    known = features.request_features(orders, "o_custkey", REQUEST_ORDER, "o_orderpriority", before)
+    money = F.col("c_acctbal")
+    customers = tables.parquet_table(spark, folder, "customer").select(
+        F.col("c_custkey").alias("o_custkey"),
+        market_code(F.col("c_nationkey")).alias("market"),
+        F.when(money < 2500, 0.0).when(money < 6000, 1.0).otherwise(2.0).alias("age"),
+        (F.col("c_custkey") % 2).cast("double").alias("gender"),
+    )
+    rows = known.join(customers, "o_custkey").withColumn("data_month", F.lit(REFERENCE_MONTH.strftime("%Y%m")))
+    plain = [f for f in rows.schema.fields if f.name not in tables.MARKET_PARTITIONS]
+    base = scratch_path(spark, "types")
+    files.write_months(rows, base)
+    training = tables.market_months(spark, base, plain)
+
+    numbers = [c for c in known.columns if c not in ("o_custkey", "carrier")]
+    pipelines = {
+        kind: {
+            "v1": models.assembled(numbers, models.logistic(kind), ["carrier"], scale=True),
+            "v2": models.assembled(numbers, models.boosted(kind, classes=classes), ["carrier"]),
+        }
+        for kind, classes in TYPE_CLASSES.items()
+    }
+    trained = models.train_types(training, pipelines)
+    fallbacks = {kind: models.train(training, routed["v1"]) for kind, routed in pipelines.items()}
+    scored = routes(models.score_types(training, trained, fallbacks))
+    classes = F.when(F.col("model_type") == "age", F.col("prediction").isin(0.0, 1.0, 2.0)).otherwise(F.col("prediction").isin(0.0, 1.0))
+    return scored.groupBy("market", "model_type", "variant").agg(
+        F.count("*").alias("n_scored"), F.count_if(classes).alias("n_in_classes"), F.count_if(F.col("score").between(0, 1)).alias("n_with_score")
+    )

@@ -5,29 +5,26 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from monthmill.functions.dates import month_id
-from monthmill.operators.features import in_periods
 from monthmill.operators.lookups import lookup
 from monthmill.plans.registry import query
-from monthmill.plans.stand_ins import MARKET_SQL, REFERENCE_MONTH, user_markets
+from monthmill.plans.stand_ins import MARKET_SQL, user_markets
 from monthmill.session import scratch_path
 from monthmill.sinks import files
 from monthmill.sources import tables
 
 
-@query("SELECT p_partkey, p_name, p_brand, p_size, p_retailprice FROM part")
+@query("SELECT * FROM part")
 def csv_export(spark: SparkSession, folder: str) -> DataFrame:
     """A CSV export under a run stamp, read with a declared schema."""
-    part = tables.parquet_table(spark, folder, "part").select(
-        "p_partkey", "p_name", "p_brand", "p_size", "p_retailprice"
-    )
+    part = tables.parquet_table(spark, folder, "part")
     path = files.export_csv(part, scratch_path(spark, "export"))
     return tables.csv_table(spark, path, part.schema)
 
 
-@query("SELECT s_suppkey, s_name, s_acctbal FROM supplier")
+@query("SELECT * FROM supplier")
 def scoring_lines(spark: SparkSession, folder: str) -> DataFrame:
     """Scoring input with one record per line and no header."""
-    supplier = tables.parquet_table(spark, folder, "supplier").select("s_suppkey", "s_name", "s_acctbal")
+    supplier = tables.parquet_table(spark, folder, "supplier")
     path = files.put(supplier, scratch_path(spark, "lines"), "batch/input", "csv")
     return tables.record_lines(spark, path, supplier.schema)
 
@@ -40,8 +37,8 @@ def scoring_lines(spark: SparkSession, folder: str) -> DataFrame:
     """
 )
 def market_month(spark: SparkSession, folder: str) -> DataFrame:
-    """The months of a cycle written by market and month; one month of one market read back."""
-    orders = in_periods(tables.parquet_table(spark, folder, "orders"), "o_orderdate", REFERENCE_MONTH)
+    """All months written by market and month; one month of one market read back."""
+    orders = tables.parquet_table(spark, folder, "orders")
     requests = orders.select("o_orderkey", "o_custkey", month_id(F.col("o_orderdate")).alias("data_month"))
     markets = user_markets(spark, folder).withColumnRenamed("user_id", "o_custkey")
     base = scratch_path(spark, "requests")
@@ -49,9 +46,9 @@ def market_month(spark: SparkSession, folder: str) -> DataFrame:
     return tables.market_month(spark, base, "MY", "200107")
 
 
-@query("SELECT c_custkey, c_nationkey, c_mktsegment FROM customer")
+@query("SELECT * FROM customer")
 def named_table(spark: SparkSession, folder: str) -> DataFrame:
     """A table of a named database, read by its name."""
-    customers = tables.parquet_table(spark, folder, "customer").select("c_custkey", "c_nationkey", "c_mktsegment")
+    customers = tables.parquet_table(spark, folder, "customer")
     files.write_named(customers, "monthmill", "customers", scratch_path(spark, "named"))
     return spark.table("monthmill.customers")

@@ -198,11 +198,13 @@ def train_score_lr(spark: SparkSession, folder: str) -> DataFrame:
 def train_score_gbt(spark: SparkSession, folder: str) -> DataFrame:
     """Weighted boosted trees for gender, trained on the training part, scored on all rows."""
     rows = _vectors(spark, folder)
-    trees = models.boosted("gender", weight="weight", rounds=5)
+    trees = models.boosted("gender", weight="weight")
     model = models.train(rows.where(F.col("part") == "train"), trees)
     return _report(models.score(rows, model), "vec_id", "part", "gender")
 
 
+# The market segments of the customers.
+_SEGMENTS = ["AUTOMOBILE", "BUILDING", "FURNITURE", "HOUSEHOLD", "MACHINERY"]
 _TRAINED_MARKETS = ["AMERICA", "ASIA", "EUROPE"]
 
 
@@ -226,7 +228,7 @@ def market_models(spark: SparkSession, folder: str) -> DataFrame:
     historical model for markets without training."""
     rows = durable(_churn_rows(spark, folder))
     numbers = [f"{c}_p_{k}" for k in range(features.PERIODS) for c in ("brq_count", "num_days")] + ["n_switches"]
-    pipeline = models.assembled(numbers, models.logistic("is_churn", iterations=20), ["carrier"])
+    pipeline = models.assembled(numbers, models.logistic("is_churn"), ["carrier"])
     base = scratch_path(spark, "models")
     month = REFERENCE_MONTH.strftime("%Y%m")
     save_model(models.train(rows, pipeline), base, "all", "churn", month)
@@ -247,9 +249,45 @@ def market_models(spark: SparkSession, folder: str) -> DataFrame:
 def fallback_score(spark: SparkSession, folder: str) -> DataFrame:
     """Scores of a stored historical model beside their inputs; every input row comes back once."""
     rows = durable(_churn_rows(spark, folder))
-    numbers = ["brq_count_p_0", "num_days_p_0", "n_switches"]
+    numbers = [f"{c}_p_{k}" for k in range(features.PERIODS) for c in ("brq_count", "num_days")] + ["n_switches"]
     base = scratch_path(spark, "models")
-    pipeline = models.assembled(numbers, models.logistic("is_churn", iterations=20))
+    pipeline = models.assembled(numbers, models.logistic("is_churn"), ["carrier"])
     save_model(models.train(rows, pipeline), base, "all", "churn", "200107")
     scored = models.score(rows, models.stored_model(base, "all", "churn", "200107"))
     return scored.where(F.col("prediction").isin(0.0, 1.0)).select("o_custkey", "market")
+
+
+@query(
+    """
+    SELECT c_custkey, round(avg(CASE WHEN c_acctbal >= 5000 THEN 1.0 ELSE 0.0 END) OVER (PARTITION BY c_mktsegment), 4) AS p_rich
+    FROM customer
+    """
+)
+def logistic_shares(spark: SparkSession, folder: str) -> DataFrame:
+    """Logistic regression on the indicators of one category: its probabilities are the shares of the categories."""
+    rows = parquet_table(spark, folder, "customer").select(
+        "c_custkey",
+        *[(F.col("c_mktsegment") == s).cast("double").alias(s) for s in _SEGMENTS],
+        (F.col("c_acctbal") >= 5000).cast("double").alias("rich"),
+    )
+    estimator = models.logistic("rich", iterations=200).setTol(1e-12).setFitIntercept(False)
+    scored = models.score(rows, models.train(rows, models.assembled(_SEGMENTS, estimator)))
+    p_rich = F.when(F.col("prediction") == 1, F.col("score")).otherwise(1 - F.col("score"))
+    return scored.select("c_custkey", F.round(p_rich, 4).alias("p_rich"))
+
+
+@query(
+    """
+    WITH v AS (SELECT vec_id, embedding[1]::DOUBLE AS x, embedding[2]::DOUBLE AS y FROM embeddings),
+    m AS (SELECT var_samp(x) AS a, covar_samp(x, y) AS b, var_samp(y) AS c FROM v),
+    e AS (SELECT b AS p, (c - a) / 2 + sqrt((a - c) * (a - c) / 4 + b * b) AS q FROM m)
+    SELECT vec_id, round(abs(x * p + y * q) / sqrt(p * p + q * q), 6) AS along, round(abs(y * p - x * q) / sqrt(p * p + q * q), 6) AS across
+    FROM v, e
+    """
+)
+def pca_plane(spark: SparkSession, folder: str) -> DataFrame:
+    """Both principal components of two columns, without their arbitrary signs."""
+    two = F.slice("embedding", 1, 2).cast("array<double>")
+    vectors = parquet_table(spark, folder, "embeddings").select("vec_id", array_to_vector(two).alias("features"))
+    scores, _ = prep.principal_components(vectors, "features", 2)
+    return scores.select("vec_id", F.round(F.abs("pc_1"), 6).alias("along"), F.round(F.abs("pc_2"), 6).alias("across"))

@@ -46,8 +46,9 @@ def write_months(df: DataFrame, base: str, gather: bool = True) -> None:
 
 
 def write_named(df: DataFrame, database: str, table: str, location: str) -> None:
-    """Write a table of a named database whose files live at ``location``."""
-    df.sparkSession.sql(f"CREATE DATABASE IF NOT EXISTS `{database}`")
+    """Write a table of a named database whose files live at ``location``, the database's own folder beside it."""
+    quoted = location.rstrip("/").replace("'", "\\'")
+    df.sparkSession.sql(f"CREATE DATABASE IF NOT EXISTS `{database}` LOCATION '{quoted}-database'")
     df.write.mode("overwrite").option("path", location).saveAsTable(f"{database}.{table}")
 
 

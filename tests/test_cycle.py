@@ -55,3 +55,7 @@ def test_monthly_cycle(spark, tmp_path):
     assert trained <= {"MY", "BD"} and trained
     again = cycle.monthly_cycle(*args, rounds=1)
     assert again.count() == len(got)
+    fewer = cycle.monthly_cycle(requests, users.where("market <> 'LK'"), *args[2:], rounds=1)
+    without = {r.user for r in got if r.market == "LK"}
+    assert {r.user for r in fewer.where("market IS NULL").collect()} == without and fewer.count() == len(got)
+    assert fewer.where("market = 'LK'").isEmpty()

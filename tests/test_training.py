@@ -123,7 +123,7 @@ def test_boosted_for_two_and_three_classes(points):
     gender = models.score(points, models.train(points, models.boosted("gender", rounds=2)))
     assert accuracy(gender, "gender") > 0.97
     age = models.score(points, models.train(points, models.boosted("age", classes=3, rounds=2)))
-    assert accuracy(age, "age") > 0.97 and age.where("score IS NOT NULL").count() == 0
+    assert accuracy(age, "age") > 0.97 and age.where("score between 0 and 1").count() == 300
 
 
 def test_boosted_takes_the_fixed_parameters():
@@ -157,3 +157,23 @@ def test_principal_components(points):
     assert shares[0] > 0.9 and sum(shares) == pytest.approx(1)
     spread = scores.select(F.var_samp("pc_1").alias("a"), F.var_samp("pc_2").alias("b")).first()
     assert spread.a / (spread.a + spread.b) == pytest.approx(shares[0])
+
+
+def test_types_by_market_and_options(points):
+    flat = points.withColumn("x", F.col("id") % 7).withColumn("market", F.when(F.col("id") % 9 > 0, F.col("market")))
+    numbers = ["x", "age"]
+    made = {k: {"v1": models.assembled(numbers, models.logistic(k), scale=True, components=2)} for k in ("age", "gender")}
+    trained = models.train_types(flat.drop("features"), made)
+    assert {k: sorted(v) for k, v in trained.items()} == {"age": ["MY", "TH"], "gender": ["MY", "TH"]}
+    rest = {k: models.train(flat.drop("features"), made[k]["v1"]) for k in made}
+    scored = models.score_types(flat.drop("features"), trained, rest)
+    assert scored.count() == 600 and scored.where("score IS NULL").isEmpty()
+    assert accuracy(scored.where("model_type = 'gender'"), "gender") > 0.97
+
+
+def test_training_rows_by_options(classes):
+    known = classes.where("c IS NOT NULL").withColumn("y", F.when(F.col("c") == "small", 1).otherwise(0))
+    assert prep.training_rows(known, "y", "id").columns == known.columns
+    assert rows(prep.training_rows(known, "y", "id", upsampled=True).groupBy("y").count()) == [(0, 3600), (1, 3600)]
+    even = prep.training_rows(known, "y", "id", balanced=True, weight=0.35)
+    assert rows(even.groupBy("y", "weight").count()) == [(0, 1.0, 200), (1, 0.35, 200)]
