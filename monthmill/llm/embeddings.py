@@ -17,10 +17,13 @@ from monthmill.llm.tables import share, stored
 SAMPLE = 10_000
 #: Leading principal dimensions that make the grid.
 LEADING = 16
-#: Vectors per interval of the order.
+#: Vectors per interval of the order, and the most intervals: their boxes, 256 bytes each, are sent to all executors.
 BLOCK = 4096
-#: Intervals whose vectors visit another one at a time.
+MOST_BLOCKS = 1 << 17
+#: Intervals of ``BLOCK`` vectors whose vectors visit another one at a time.
 VISITS = 8
+#: Rows sent on at a time.
+_ROWS = 1 << 14
 #: An interval of so many vectors is compared directly.
 DIRECT = 512
 
@@ -121,10 +124,11 @@ def near_duplicates(vectors: DataFrame, least: float = 0.95, *, key: str = "vec_
 
     Equal vectors become one with a weight. The others are sorted by the cells,
     of the links' reach, in which their leading principal coordinates lie; the
-    order is cut into intervals of ``BLOCK``. A vector visits an earlier
-    interval only if it can be within reach of the interval's box, and there
-    intervals are halved and left out in the same way before cosines are taken,
-    in double precision. An interval sends back a number of links per vector
+    order is cut into intervals of ``BLOCK``, or longer ones beyond
+    ``MOST_BLOCKS``. Intervals whose boxes are out of reach of each other never
+    meet; a vector visits an earlier interval only if it can be within reach of
+    the interval's box, and there intervals are halved and left out in the same
+    way before cosines are taken, in double precision. An interval sends back a number of links per vector
     and a star per group, never the pairs.
 
     Vectors that are null, empty, zero or not finite, and vectors of different
@@ -138,6 +142,8 @@ def near_duplicates(vectors: DataFrame, least: float = 0.95, *, key: str = "vec_
     distinct = rows.filter("ok").groupBy("v").agg(F.count("*").alias("weight"), F.min("key").alias("first"))
     single = stored(distinct.select(F.monotonically_increasing_id().alias("id"), "v", "weight", "first"), "vectors")
     n = single.count()
+    width = max(BLOCK, -(-n // MOST_BLOCKS))  # vectors per interval
+    visits = max(1, VISITS * BLOCK // width)  # intervals that visit at a time
     sample = single.filter(share("id") < SAMPLE / max(n, 1)).select("v").toArrow().column("v").combine_chunks()
     rotations = spark.sparkContext.broadcast(_rotations(sample, reach) if len(sample) else {})
 
@@ -166,13 +172,13 @@ def near_duplicates(vectors: DataFrame, least: float = 0.95, *, key: str = "vec_
         rank += row["count"]
     offsets = spark.sparkContext.broadcast(starts)
 
-    def block_of(part: pa.RecordBatch) -> np.ndarray:
+    def rank_of(part: pa.RecordBatch) -> np.ndarray:
         first = np.array([offsets.value[t] for t in part.column(3).to_numpy()], np.int64)
         return first + part.column(4).to_numpy()
 
     def corners(parts: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for part in parts:
-            block = block_of(part) // BLOCK
+            block = rank_of(part) // width
             for dimension, at, units in _by_dimension(part.column(1)):
                 points = _rotate(units, rotations.value)
                 for b in np.unique(block[at]):
@@ -182,26 +188,42 @@ def near_duplicates(vectors: DataFrame, least: float = 0.95, *, key: str = "vec_
     least_of = [F.min(F.col("low")[k]).alias(f"l{k}") for k in range(LEADING)]
     most_of = [F.max(F.col("high")[k]).alias(f"h{k}") for k in range(LEADING)]
     boxes = numbered.mapInArrow(corners, "block long, dimension int, low array<double>, high array<double>").groupBy("block", "dimension").agg(*least_of, *most_of).orderBy("block", "dimension").collect()
-    box = spark.sparkContext.broadcast([(r.block, r.dimension, np.array(r[2 : 2 + LEADING]), np.array(r[2 + LEADING :])) for r in boxes])
-    last = max((r.block for r in boxes), default=0)
+    box = {}
+    for size in {r.dimension for r in boxes}:
+        mine = [r for r in boxes if r.dimension == size]
+        box[size] = np.array([r.block for r in mine]), np.array([r[2 : 2 + LEADING] for r in mine], float), np.array([r[2 + LEADING :] for r in mine], float)
+    sent = spark.sparkContext.broadcast(box)
+
+    def moves(part: pa.RecordBatch, ranks: np.ndarray) -> Iterator[tuple[np.ndarray, int, int]]:
+        """(rows, home, visit): which rows of a batch go to which meetings."""
+        for dimension, at, units in _by_dimension(part.column(1)):
+            points, own = _rotate(units, rotations.value), ranks[at] // width
+            blocks, low, high = sent.value[dimension]
+            for block in np.unique(own):
+                rows, spots, k = at[own == block], points[own == block], np.searchsorted(blocks, block)
+                close = _box_gap(low, high, low[k], high[k]) <= reach
+                for home in np.flatnonzero(close[:k]):
+                    yield rows[_box_gap(spots, spots, low[home], high[home]) <= reach], blocks[home], block // visits
+                # A home meets its visitors a few intervals at a time, so that a task's memory is bounded.
+                for visit in np.unique(blocks[k:][close[k:]] // visits):
+                    yield rows, block, visit
 
     def visit(parts: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for part in parts:
-            ranks = block_of(part)
-            for dimension, at, units in _by_dimension(part.column(1)):
-                points = _rotate(units, rotations.value)
-                own = ranks[at] // BLOCK
-                for home, size, low, high in box.value:
-                    if size != dimension:
-                        continue
-                    near = (own > home) & (_box_gap(points, points, low, high) <= reach)
-                    # A home meets its visitors in groups of so many intervals, so that a task's memory is bounded.
-                    moves = [(at[near], own[near] // VISITS)] + [(at[own == home], np.full((own == home).sum(), g)) for g in range(home // VISITS, last // VISITS + 1)]
-                    rows = np.concatenate([m[0] for m in moves])
-                    if len(rows):
-                        group = np.concatenate([m[1] for m in moves])
-                        taken = part.take(pa.array(rows))
-                        yield pa.RecordBatch.from_arrays([pa.array(np.full(len(rows), home)), pa.array(group), pa.array(ranks[rows]), *taken.columns[:3]], names=["home", "visit", "rank", "id", "v", "weight"])
+            ranks, held, size = rank_of(part), [], 0
+
+            def send() -> pa.RecordBatch:
+                rows, home, group = (np.concatenate([np.asarray(m[k]) for m in held]) for k in range(3))
+                return pa.RecordBatch.from_arrays([pa.array(home), pa.array(group), pa.array(ranks[rows]), *part.take(pa.array(rows)).columns[:3]], names=["home", "visit", "rank", "id", "v", "weight"])
+
+            for rows, home, group in moves(part, ranks):
+                held.append((rows, np.full(len(rows), home, np.int64), np.full(len(rows), group, np.int64)))
+                size += len(rows)
+                if size >= _ROWS:
+                    yield send()
+                    held, size = [], 0
+            if size:
+                yield send()
 
     def join(group: pa.Table) -> pa.Table:
         group = group.sort_by("rank")
@@ -209,8 +231,8 @@ def near_duplicates(vectors: DataFrame, least: float = 0.95, *, key: str = "vec_
         ids, weights = group.column("id").to_numpy(), group.column("weight").to_numpy()
         out = []
         for _, at, units in _by_dimension(group.column("v").combine_chunks()):
-            here = int((group.column("rank").to_numpy()[at] // BLOCK == home).sum())
-            partners, root = join_interval(units, _rotate(units, rotations.value), weights[at], here, least, home // VISITS == visit_no)
+            here = int((group.column("rank").to_numpy()[at] // width == home).sum())
+            partners, root = join_interval(units, _rotate(units, rotations.value), weights[at], here, least, home // visits == visit_no)
             linked = np.flatnonzero(partners)
             out.append((ids[at[linked]], ids[at[root[linked]]], partners[linked]))
         a, b, w = (np.concatenate([x[k] for x in out] or [np.zeros(0, np.int64)]) for k in range(3))

@@ -49,6 +49,17 @@ def test_links(spark, monkeypatch, block, visits, direct):
     assert sorted(map(tuple, embeddings.near_duplicates(table).collect()), key=repr) == slow(rows)
 
 
+def test_links_with_few_intervals(spark, monkeypatch):
+    """Beyond MOST_BLOCKS intervals grow; each meets those within reach only."""
+    monkeypatch.setattr(embeddings, "BLOCK", 8)
+    monkeypatch.setattr(embeddings, "MOST_BLOCKS", 5)
+    rng = np.random.default_rng(6)
+    centres = rng.normal(size=(12, 6))
+    rows = [(k, [float(x) for x in centres[k % 12] + rng.normal(size=6) * 0.1]) for k in range(240)] + [(900 + k, [float(x) for x in rng.normal(size=3)]) for k in range(30)]
+    table = spark.createDataFrame(rows, "vec_id long, embedding array<double>")
+    assert sorted(map(tuple, embeddings.near_duplicates(table).collect()), key=repr) == slow(rows)
+
+
 def test_empty_table(spark):
     table = spark.createDataFrame([], "vec_id long, embedding array<float>")
     assert embeddings.near_duplicates(table).collect() == []
