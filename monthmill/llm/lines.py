@@ -17,6 +17,10 @@ from monthmill.llm.tables import BLANKS, byte_texts, small_side, stored
 SHARD = 500_000
 #: Filters of twice-seen hashes that are sent to the executors at a time, in bytes.
 ROUND_BYTES = 32 << 20
+#: Rounds, each of which reads the documents, up to which filters are sent to the lines; beyond, lines go to the filters.
+MOST_ROUNDS = 8
+#: Lines that meet a copy of their shard's filter in one task, about.
+MEETING = 2_000_000
 _PROBES = 4
 _BLANKS = BLANKS.encode()
 
@@ -63,26 +67,26 @@ def _shard(hashes: np.ndarray, shards: int) -> np.ndarray:
 
 
 def _twice_filters(docs: DataFrame, text: str, least: int) -> tuple[DataFrame, int]:
-    """(shard, bits): for each range of hashes a filter of those seen in two or more documents."""
+    """(shard, lines, bits): for each range of hashes its number of lines and a filter of those seen in two or more documents."""
 
     def gather(parts: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        # A batch sends each hash once, with a mark if it holds it twice: a line in a third of all rows stays light.
+        # A batch sends each hash once, with the number of its documents: a line in a third of all rows stays light.
         for part in parts:
             hashes = np.fromiter((xxh3_64_intdigest(k) for t in byte_texts(part.column(0)) for k in _long_keys(t, least)), np.uint64)
             once, counts = np.unique(hashes, return_counts=True)
-            yield pa.RecordBatch.from_arrays([pa.array(once.view(np.int64)), pa.array(counts > 1)], names=["h", "twice"])
+            yield pa.RecordBatch.from_arrays([pa.array(once.view(np.int64)), pa.array(counts)], names=["h", "n"])
 
-    hashes = stored(docs.select(text).mapInArrow(gather, "h long, twice boolean"), "line-hashes")
+    hashes = stored(docs.select(text).mapInArrow(gather, "h long, n long"), "line-hashes")
     shards = max(1, -(-hashes.count() // SHARD))
 
     def place(parts: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for part in parts:
             of = _shard(part.column(0).to_numpy().view(np.uint64), shards)
-            yield pa.RecordBatch.from_arrays([pa.array(of), *part.columns], names=["shard", "h", "twice"])
+            yield pa.RecordBatch.from_arrays([pa.array(of), *part.columns], names=["shard", "h", "n"])
 
     def build(group: pa.Table) -> pa.Table:
-        h, twice = group.column("h").to_numpy().view(np.uint64), group.column("twice").to_numpy()
-        seen, again = Bloom.sized(len(h)), [h[twice]]
+        h, n = group.column("h").to_numpy().view(np.uint64), group.column("n").to_numpy()
+        seen, again = Bloom.sized(len(h)), [h[n > 1]]
         for at in range(0, len(h), 1 << 16):
             part, counts = np.unique(h[at : at + (1 << 16)], return_counts=True)
             again.append(part[(counts > 1) | seen.has(part)])
@@ -90,15 +94,17 @@ def _twice_filters(docs: DataFrame, text: str, least: int) -> tuple[DataFrame, i
         found = np.unique(np.concatenate(again))
         out = Bloom.sized(len(found))
         out.add(found)
-        return pa.table({"shard": pa.array([group.column("shard")[0].as_py()], pa.int32()), "bits": pa.array([out.bits.tobytes()], pa.binary())})
+        return pa.table({"shard": pa.array([group.column("shard")[0].as_py()], pa.int32()), "lines": pa.array([n.sum()], pa.int64()), "bits": pa.array([out.bits.tobytes()], pa.binary())})
 
-    filters = hashes.mapInArrow(place, "shard int, h long, twice boolean").repartition(shards, "shard").groupBy("shard").applyInArrow(build, "shard int, bits binary")
+    filters = hashes.mapInArrow(place, "shard int, h long, n long").repartition(shards, "shard").groupBy("shard").applyInArrow(build, "shard int, lines long, bits binary")
     return stored(filters, "line-filters"), shards
 
 
 def _suspects(docs: DataFrame, key: str, text: str, least: int) -> DataFrame:
     """(key, line): the lines of each document, by 128-bit identity, that a twice-seen filter holds."""
     filters, shards = _twice_filters(docs, text, least)
+    if (filters.agg(F.sum(F.length("bits"))).first()[0] or 0) > MOST_ROUNDS * ROUND_BYTES:
+        return _moved_suspects(docs, filters, shards, key, text, least)
     spark = docs.sparkSession
     rounds: list[list[int]] = [[]]
     size = 0
@@ -139,6 +145,30 @@ def _suspects(docs: DataFrame, key: str, text: str, least: int) -> DataFrame:
     return whole
 
 
+def _moved_suspects(docs: DataFrame, filters: DataFrame, shards: int, key: str, text: str, least: int) -> DataFrame:
+    """As ``_suspects``: every line's hash and identity moves to its filter, of which a shard with many lines has copies."""
+    copies = filters.select("shard", F.ceil(F.col("lines") / MEETING).alias("copies"))
+
+    def name(parts: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for part in parts:
+            found = [(row, line) for row, t in enumerate(byte_texts(part.column(1))) for line in _long_keys(t, least)]
+            hashes = np.fromiter((xxh3_64_intdigest(line) for _, line in found), np.uint64, len(found))
+            columns = [part.column(0).take(pa.array([row for row, _ in found], pa.int64())), pa.array([_identity(line) for _, line in found], pa.binary())]
+            yield pa.RecordBatch.from_arrays([*columns, pa.array(hashes.view(np.int64)), pa.array(_shard(hashes, shards))], names=[key, "line", "_h", "_shard"])
+
+    def test(lines: pa.Table, bits: pa.Table) -> pa.Table:
+        held = bits.column("bits").to_pylist()
+        if not held:
+            return lines.select([key, "line"]).slice(0, 0)
+        return lines.select([key, "line"]).filter(pa.array(Bloom(np.frombuffer(held[0], np.uint8)).has(lines.column("_h").to_numpy().view(np.uint64))))
+
+    own = docs.select(key).schema.add("line", "binary")
+    lines = docs.select(key, text).mapInArrow(name, docs.select(key).schema.add("line", "binary").add("_h", "long").add("_shard", "integer"))
+    dealt = lines.join(small_side(copies, 32), F.col("_shard") == F.col("shard")).withColumn("_copy", F.pmod(F.xxhash64(key, "line"), F.col("copies")))
+    spread = filters.join(copies, "shard").select(F.col("shard").alias("_shard"), F.explode(F.sequence(F.lit(0).cast("long"), F.col("copies") - 1)).alias("_copy"), "bits")
+    return dealt.select(key, "line", "_h", "_shard", "_copy").groupBy("_shard", "_copy").cogroup(spread.groupBy("_shard", "_copy")).applyInArrow(test, own)
+
+
 def repeated_lines(docs: DataFrame, least: int = 40, documents: int = 5, *, key: str = "doc_id", text: str = "text") -> DataFrame:
     """(key, lines): for each document the identities of the lines it loses to a document with a larger key.
 

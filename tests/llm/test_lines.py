@@ -35,8 +35,10 @@ def found(spark, rows):
     return sorted(((r.doc_id, r.text or "", r.n_lines, r.n_dropped) for r in result.collect()), key=repr)
 
 
-@pytest.mark.parametrize("shard, round_bytes", [(500_000, 32 << 20), (10, 8)])
-def test_repeated_lines(spark, monkeypatch, shard, round_bytes):
+@pytest.mark.parametrize("shard, round_bytes, most_rounds", [(500_000, 32 << 20, 8), (10, 8, 1000), (10, 8, 0)])
+def test_repeated_lines(spark, monkeypatch, shard, round_bytes, most_rounds):
+    monkeypatch.setattr(lines, "MOST_ROUNDS", most_rounds)
+    monkeypatch.setattr(lines, "MEETING", 3)
     monkeypatch.setattr(lines, "SHARD", shard)
     monkeypatch.setattr(lines, "ROUND_BYTES", round_bytes)
     rng = random.Random(4)
