@@ -7,7 +7,7 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from monthmill.llm.tables import stored
+from monthmill.llm.tables import small_side, stored
 
 #: Rows per interval of keys, on average; each interval is one group of a window.
 INTERVAL = 2_000
@@ -66,17 +66,24 @@ def mix(docs: DataFrame, weights: Sequence[float] = (5, 2, 1), share: float = 1.
     whole = F.coalesce(F.floor(F.col("target") / F.when(F.col("source_size") > 0, F.col("source_size"))), F.lit(0))
     left = F.col("target") - whole * F.col("source_size")
     once_more = (F.col("_ahead") + F.col("within") + F.col("size") / 2 <= left).cast("long")
-    return sums.select(F.col("_id").alias(key), "source", "size", "source_size", "target", ((whole + once_more) * F.col("size")).alias("taken"), "row_key", (whole + once_more).alias("copies"))
+    return sums.select(F.col("_id").alias(key), "source", "size", "source_size", "target", ((whole + once_more) * F.col("size")).alias("taken"), "row_key", whole.alias("whole"), (whole + once_more).alias("copies"))
 
 
 def mixed(docs: DataFrame, *args, key: str = "doc_id", text: str = "text", source: str = "source", seed: int = 0, **options) -> DataFrame:
     """The mix itself: the rows of ``docs`` that ``mix`` takes, each as often as it is taken, with ``epoch`` from 1 on.
 
-    Documents without words are taken like others at the place of their key. A
-    column named epoch is replaced.
+    In the order of keys a source is taken once more up to a cut, so a row per
+    source says what becomes of a document, and texts are not moved. Rows of
+    one identifier and text share a key and are taken together. Documents
+    without words are taken like others at the place of their key. A column
+    named epoch is replaced.
     """
-    plan = mix(docs, *args, key=key, text=text, source=source, seed=seed, **options).filter("copies > 0").groupBy("row_key").agg(F.max("copies").alias("_copies"))
+    plan = mix(docs, *args, key=key, text=text, source=source, seed=seed, **options)
+    cuts = plan.groupBy("source").agg(F.max("whole").alias("_whole"), F.max(F.when(F.col("copies") > F.col("whole"), F.col("row_key"))).alias("_cut"))
+    cuts = stored(cuts.withColumnRenamed("source", "_source"), "cuts")
     random = F.md5(F.concat_ws("|", F.lit(str(seed)), F.col(key).cast("string"), F.col(text)).cast("binary"))
     own = [c for c in docs.columns if c != "epoch"]
-    taken = docs.select(*own, random.alias("_row_key")).join(plan, F.col("_row_key") == F.col("row_key"))
-    return taken.select(*own, F.explode(F.sequence(F.lit(1), F.col("_copies").cast("int"))).alias("epoch"))
+    joined = docs.select(*own, random.alias("_row_key")).join(small_side(cuts, 256), F.col(source).eqNullSafe(F.col("_source")))
+    copies = F.col("_whole") + F.coalesce(F.col("_row_key") <= F.col("_cut"), F.lit(False)).cast("long")
+    # A sequence of no copies would count down.
+    return joined.withColumn("_copies", copies.cast("int")).filter("_copies > 0").select(*own, F.explode(F.sequence(F.lit(1), F.col("_copies"))).alias("epoch"))

@@ -5,6 +5,7 @@ import re
 from collections import defaultdict
 
 import pytest
+from pyspark.sql import functions as F
 
 from monthmill.llm import mixing
 
@@ -56,6 +57,15 @@ def test_reruns_and_rows_of_the_mix_agree(spark):
     full = mixing.mixed(docs)
     assert full.columns == [*docs.columns, "epoch"]
     assert full.count() == sum(r.copies for r in mixing.mix(docs).collect())
+    taken = {r.doc_id: r.copies for r in mixing.mix(docs).collect()}
+    assert {r.doc_id: r.n for r in full.groupBy("doc_id").agg(F.count_distinct("epoch").alias("n")).collect()} == {k: n for k, n in taken.items() if n}
+
+
+def test_mix_with_null_sources_and_words_of_none(spark):
+    rows = [(k, "w " * (k % 4), [None, "a", "b", "empty"][k % 4]) for k in range(80)]
+    docs = frame(spark, rows)
+    taken = {r.doc_id: r.copies for r in mixing.mix(docs).collect()}
+    assert {r.doc_id: r["count"] for r in mixing.mixed(docs).groupBy("doc_id").count().collect()} == {k: n for k, n in taken.items() if n}
 
 
 def test_empty_tables(spark):
