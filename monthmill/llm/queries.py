@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from monthmill.llm import decontaminate, embeddings, html, langid, lines, lm, mixing, quality, simhash, urls
+from monthmill.llm import decontaminate, embeddings, html, langid, lines, lm, mixing, quality, search, simhash, urls
 from monthmill.llm.tables import remainder
 
 QUERIES = {}
@@ -160,3 +160,33 @@ def op8_lm_scoring(spark: SparkSession, folder: str) -> DataFrame:
 @query()
 def op10_embedding_near_dedup(spark: SparkSession, folder: str) -> DataFrame:
     return embeddings.near_duplicates(table(spark, folder, "embeddings"), least=0.95)
+
+
+_SEARCH_SQL = r"""
+WITH d AS (
+  SELECT row_number() OVER () AS r, doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+') AS w FROM documents
+), b AS (
+  SELECT row_number() OVER () AS q, item_id, list_distinct(regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+')) AS w FROM benchmark
+), total AS (
+  SELECT count(*) AS n_docs, sum(len(w))::BIGINT AS n_terms FROM d WHERE len(w) > 0
+), tf AS (
+  SELECT r, term, count(*) AS tf FROM (SELECT r, unnest(w) AS term FROM d) GROUP BY r, term
+), weights AS (
+  SELECT term, floor(1000 * ln((2.0::DOUBLE * n_docs + 2) / (2.0::DOUBLE * df + 1)))::BIGINT AS weight
+  FROM (SELECT term, count(*) AS df FROM tf GROUP BY term), total
+), damped AS (
+  SELECT r, doc_id, 100 - 90 + (90 * len(w)::BIGINT * n_docs) // n_terms AS m FROM d, total WHERE len(w) > 0
+), scored AS (
+  SELECT q, any_value(item_id) AS item_id, r, any_value(doc_id) AS doc_id, sum(weight * ((1000000000 * tf) // (1000 * tf + 8 * m)))::BIGINT AS score
+  FROM (SELECT q, item_id, unnest(w) AS term FROM b) JOIN tf USING (term) JOIN weights USING (term) JOIN damped USING (r) GROUP BY q, r
+), ranked AS (
+  SELECT *, row_number() OVER (PARTITION BY q ORDER BY score DESC, doc_id NULLS LAST) AS rank FROM scored WHERE score > 0
+)
+SELECT item_id, rank::INT AS rank, doc_id, score FROM ranked WHERE rank <= 10
+"""
+
+
+@query(_SEARCH_SQL)
+def op11_ranked_search(spark: SparkSession, folder: str) -> DataFrame:
+    """The ten highest-scoring documents of every benchmark item."""
+    return search.search(table(spark, folder, "documents"), table(spark, folder, "benchmark"), k=10)
