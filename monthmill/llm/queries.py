@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from monthmill.llm import decontaminate, embeddings, html, langid, lines, lm, mixing, quality, search, simhash, urls
+from monthmill.llm import decontaminate, embeddings, html, langid, lines, lm, mixing, quality, search, simhash, tokencount, urls, whitening
 from monthmill.llm.tables import remainder
 
 QUERIES = {}
@@ -190,3 +190,19 @@ SELECT item_id, rank::INT AS rank, doc_id, score FROM ranked WHERE rank <= 10
 def op11_ranked_search(spark: SparkSession, folder: str) -> DataFrame:
     """The ten highest-scoring documents of every benchmark item."""
     return search.search(table(spark, folder, "documents"), table(spark, folder, "benchmark"), k=10)
+
+
+@query()
+def op12_embedding_whitening(spark: SparkSession, folder: str) -> DataFrame:
+    """All complete embeddings on their 32 leading components, scaled to variance 1."""
+    found = whitening.whiten(table(spark, folder, "embeddings"), components=32)
+    return found.withColumn("deviation", F.col("deviation").cast("long"))
+
+
+@query()
+def op13_token_counts(spark: SparkSession, folder: str) -> DataFrame:
+    """Bytes and tokens of every document, and whether it exceeds 2,048 tokens."""
+    import public_tokenizers
+
+    found = tokencount.count_tokens(table(spark, folder, "documents"), public_tokenizers.path("word_bpe_49k.json"))
+    return found.withColumn("over_limit", F.col("n_tokens") > 2048)
