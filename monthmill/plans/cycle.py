@@ -8,7 +8,7 @@ import uuid
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from monthmill.functions import documents
-from monthmill.operators import features, metrics, models
+from monthmill.operators import features, grouped, metrics, models, trees
 from monthmill.operators.routing import FIRST_VARIANT_MARKETS, SECOND_VARIANT_MARKETS, routes
 from monthmill.operators.slices import day_slice
 from monthmill.plans.registry import query
@@ -126,17 +126,27 @@ def market_gates(spark: SparkSession, folder: str) -> DataFrame:
     WITH known AS (
         SELECT DISTINCT o_custkey FROM orders
         WHERE o_orderdate >= TIMESTAMP '2001-01-01' AND o_orderdate < TIMESTAMP '2001-07-01'),
+    people AS (
+        SELECT {MARKET_SQL} AS market, CASE WHEN c_acctbal < 2500 THEN 0 WHEN c_acctbal < 6000 THEN 1 ELSE 2 END AS age,
+            c_custkey % 2 AS gender
+        FROM known JOIN customer ON c_custkey = known.o_custkey),
     per AS (
-        SELECT {MARKET_SQL} AS market, count(*) AS n_scored FROM known JOIN customer ON c_custkey = known.o_custkey GROUP BY 1)
+        SELECT market, 'age' AS model_type, age AS label FROM people UNION ALL SELECT market, 'gender', gender FROM people)
     SELECT market, model_type,
         CASE WHEN market IN ({_quoted(FIRST_VARIANT_MARKETS)}) THEN 'v1'
             WHEN market IN ({_quoted(SECOND_VARIANT_MARKETS)}) THEN 'v2' ELSE 'fallback' END AS variant,
-        n_scored, n_scored AS n_in_classes, n_scored AS n_with_score
-    FROM per, (VALUES ('age'), ('gender')) AS t(model_type)
+        count(*) AS n_scored, count(*) AS n_in_classes, count(*) AS n_with_score,
+        CASE WHEN market IN ({_quoted(FIRST_VARIANT_MARKETS)}) AND count(DISTINCT label) > 1
+            THEN count(*) FILTER (WHERE label = 1)::DOUBLE END AS expected
+    FROM per GROUP BY 1, 2
     """
 )
 def market_type_models(spark: SparkSession, folder: str) -> DataFrame:
-    """Models for age (three classes) and gender (two) per market, by the market's variant; all users scored for both."""
+    """Models for age (three classes) and gender (two) per market, by the market's variant; all users scored for both.
+
+    The probabilities of class 1 of a fitted logistic model add up to the rows
+    of that class; ``expected`` is their sum where the first variant has a model.
+    """
     orders = tables.parquet_table(spark, folder, "orders")
     before = features.month_shift(REFERENCE_MONTH, -1)
     known = features.request_features(orders, "o_custkey", REQUEST_ORDER, "o_orderpriority", before)
@@ -144,27 +154,38 @@ def market_type_models(spark: SparkSession, folder: str) -> DataFrame:
     customers = tables.parquet_table(spark, folder, "customer").select(
         F.col("c_custkey").alias("o_custkey"),
         market_code(F.col("c_nationkey")).alias("market"),
-        F.when(money < 2500, 0.0).when(money < 6000, 1.0).otherwise(2.0).alias("age"),
-        (F.col("c_custkey") % 2).cast("double").alias("gender"),
+        F.when(money < 2500, 0).when(money < 6000, 1).otherwise(2).alias("age"),
+        (F.col("c_custkey") % 2).cast("int").alias("gender"),
     )
-    rows = known.join(customers, "o_custkey").withColumn("data_month", F.lit(REFERENCE_MONTH.strftime("%Y%m")))
-    plain = [f for f in rows.schema.fields if f.name not in tables.MARKET_PARTITIONS]
-    base = scratch_path(spark, "types")
-    files.write_months(rows, base)
-    training = tables.market_months(spark, base, plain)
-
+    rows = durable(known.join(customers, "o_custkey"))
     numbers = [c for c in known.columns if c not in ("o_custkey", "carrier")]
-    pipelines = {
-        kind: {
-            "v1": models.assembled(numbers, models.logistic(kind), ["carrier"], scale=True),
-            "v2": models.assembled(numbers, models.boosted(kind, classes=classes), ["carrier"]),
-        }
-        for kind, classes in TYPE_CLASSES.items()
-    }
-    trained = models.train_types(training, pipelines)
-    fallbacks = {kind: models.train(training, routed["v1"]) for kind, routed in pipelines.items()}
-    scored = routes(models.score_types(training, trained, fallbacks))
+    scored = routes(type_models(rows, numbers, ["carrier"], TYPE_CLASSES))
     classes = F.when(F.col("model_type") == "age", F.col("prediction").isin(0.0, 1.0, 2.0)).otherwise(F.col("prediction").isin(0.0, 1.0))
+    own = (F.col("variant") == "v1") & (F.col("model") == F.col("market"))
     return scored.groupBy("market", "model_type", "variant").agg(
-        F.count("*").alias("n_scored"), F.count_if(classes).alias("n_in_classes"), F.count_if(F.col("score").between(0, 1)).alias("n_with_score")
+        F.count("*").alias("n_scored"),
+        F.count_if(classes).alias("n_in_classes"),
+        F.count_if(F.col("score").between(0, 1)).alias("n_with_score"),
+        F.round(F.sum(F.when(own, F.col("probabilities")[1])), 1).alias("expected"),
     )
+
+
+def type_models(rows: DataFrame, numbers: list[str], categories: list[str], kinds: dict[str, int], market: str = "market") -> DataFrame:
+    """Trains all markets and model types and scores every row once per type, with ``model``, ``probabilities``, ``prediction`` and ``score``.
+
+    Markets of the first variant and the model over all markets, which takes
+    all other rows, are logistic and come from one sequence of jobs; markets of
+    the second variant have boosted trees with a limit of leaves.
+    """
+    values = grouped.category_values(rows, categories)
+    held = rows.withColumn("_features", grouped.features_of(rows, numbers, values))
+    fitted = grouped.fit_groups(held, "_features", kinds, market)
+    logistic = [t for t in fitted if t.market is None or t.market in FIRST_VARIANT_MARKETS]
+    boosted = trees.fit_trees(held.where(F.col(market).isin(SECOND_VARIANT_MARKETS)), "_features", kinds, market)
+    by_trees = trees.score_trees(held, boosted, "_features", market).withColumn("model", F.col(market))
+    taken = [(m.market, m.kind) for m in boosted]
+    by_weights = grouped.score_groups(held, grouped.model_table(rows.sparkSession, logistic), "_features", market)
+    if taken:
+        done = F.struct(F.col(market), F.col("model_type")).isin(*[F.struct(F.lit(m), F.lit(k)) for m, k in taken])
+        by_weights = by_weights.where(~F.coalesce(done, F.lit(False)))
+    return by_weights.unionByName(by_trees).drop("_features")

@@ -5,9 +5,9 @@ from __future__ import annotations
 from pyspark.ml.functions import array_to_vector
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from monthmill.operators import features, metrics, models, prep
+from monthmill.operators import features, grouped, metrics, models, prep, trees
 from monthmill.plans.registry import query
-from monthmill.plans.stand_ins import REFERENCE_MONTH, REQUEST_ORDER
+from monthmill.plans.stand_ins import MARKET_SQL, REFERENCE_MONTH, REQUEST_ORDER, market_code
 from monthmill.session import durable, scratch_path
 from monthmill.sinks.files import save_model
 from monthmill.sources.tables import parquet_table
@@ -291,3 +291,89 @@ def pca_plane(spark: SparkSession, folder: str) -> DataFrame:
     vectors = parquet_table(spark, folder, "embeddings").select("vec_id", array_to_vector(two).alias("features"))
     scores, _ = prep.principal_components(vectors, "features", 2)
     return scores.select("vec_id", F.round(F.abs("pc_1"), 6).alias("along"), F.round(F.abs("pc_2"), 6).alias("across"))
+
+
+_PEOPLE_SQL = f"""(
+    SELECT c_custkey, c_mktsegment, c_nationkey, {MARKET_SQL} AS market, CAST(c_acctbal >= 5000 AS INT) AS rich,
+        CASE WHEN c_acctbal < 2500 THEN 0 WHEN c_acctbal < 6000 THEN 1 ELSE 2 END AS age
+    FROM customer)"""
+
+
+def _people(spark: SparkSession, folder: str) -> DataFrame:
+    """Customers with their market, a label of two classes and one of three."""
+    money = F.col("c_acctbal")
+    return parquet_table(spark, folder, "customer").select(
+        "c_custkey",
+        "c_mktsegment",
+        "c_nationkey",
+        market_code(F.col("c_nationkey")).alias("market"),
+        (money >= 5000).cast("int").alias("rich"),
+        F.when(money < 2500, 0).when(money < 6000, 1).otherwise(2).alias("age"),
+    )
+
+
+@query(
+    f"""
+    WITH rows AS (
+        SELECT market, c_mktsegment, 'rich' AS model_type, rich AS label FROM {_PEOPLE_SQL}
+        UNION ALL SELECT market, c_mktsegment, 'age', age FROM {_PEOPLE_SQL}),
+    trained AS (SELECT market, model_type FROM rows GROUP BY 1, 2 HAVING count(DISTINCT label) > 1),
+    everywhere AS (
+        SELECT c_mktsegment, model_type, avg(CAST(label = 1 AS INT)) AS share FROM rows GROUP BY 1, 2)
+    SELECT market, c_mktsegment, model_type, t.market IS NOT NULL AS own_model, count(*) AS n,
+        round(CASE WHEN t.market IS NOT NULL THEN sum(CAST(label = 1 AS INT)) ELSE sum(share) END, 2)::DOUBLE AS expected
+    FROM rows JOIN everywhere USING (c_mktsegment, model_type) LEFT JOIN trained AS t USING (market, model_type)
+    GROUP BY 1, 2, 3, 4
+    """
+)
+def grouped_shares(spark: SparkSession, folder: str) -> DataFrame:
+    """All markets fitted at once on the indicators of one category: the probabilities of class 1 add up to its rows.
+
+    Markets that show one class only are scored by the model over all.
+    """
+    people = _people(spark, folder)
+    values = {"c_mktsegment": _SEGMENTS}
+    rows = people.withColumn("features", grouped.features_of(people, [], values))
+    fitted = grouped.fit_groups(rows, "features", {"rich": 2, "age": 3}, penalty=0.0)
+    scored = grouped.score_groups(rows, grouped.model_table(spark, fitted), "features")
+    cells = scored.groupBy("market", "c_mktsegment", "model_type", (F.col("model") != grouped.EVERY).alias("own_model"))
+    return cells.agg(F.count("*").alias("n"), F.round(F.sum(F.col("probabilities")[1]), 2).alias("expected"))
+
+
+@query(
+    f"""
+    WITH trained AS (SELECT market FROM {_PEOPLE_SQL} GROUP BY 1 HAVING count(DISTINCT rich) > 1)
+    SELECT market, c_mktsegment, count(*) AS n, sum(rich)::DOUBLE AS expected
+    FROM {_PEOPLE_SQL} JOIN trained USING (market) GROUP BY 1, 2
+    """
+)
+def leafwise_shares(spark: SparkSession, folder: str) -> DataFrame:
+    """Boosted trees with a leaf per value of one feature, round after round: the probabilities add up to the rows of class 1."""
+    place = F.array_position(F.array(*[F.lit(s) for s in _SEGMENTS]), F.col("c_mktsegment"))
+    rows = _people(spark, folder).withColumn("features", F.array(place.cast("double")))
+    settings = trees.Settings(rounds=80, rate=0.2, least_rows=1)
+    scored = trees.score_trees(rows, trees.fit_trees(rows, "features", {"rich": 2}, settings=settings), "features")
+    return scored.groupBy("market", "c_mktsegment").agg(F.count("*").alias("n"), F.round(F.sum(F.col("probabilities")[1]), 1).alias("expected"))
+
+
+@query(
+    f"""
+    WITH rows AS (SELECT c_custkey, c_nationkey AS x, rich::DOUBLE AS y FROM {_PEOPLE_SQL}),
+    base AS (SELECT avg(y) AS p, count(*) AS n FROM rows),
+    cuts AS (
+        SELECT t.x AS cut, count(*) FILTER (rows.x <= t.x) AS n, sum(p - y) FILTER (rows.x <= t.x) AS g
+        FROM rows, (SELECT DISTINCT x FROM rows WHERE x < (SELECT max(x) FROM rows)) AS t, base GROUP BY 1),
+    best AS (SELECT cut FROM cuts, base WHERE cuts.n >= 20 AND base.n - cuts.n >= 20
+        ORDER BY round(g * g / cuts.n + g * g / (base.n - cuts.n), 6) DESC, cut LIMIT 1),
+    leaf AS (SELECT x <= cut AS low, sum(y - p) / (count(*) * any_value(p * (1 - p))) AS v FROM rows, base, best GROUP BY 1)
+    SELECT c_custkey, x <= cut AS low, round(1 / (1 + exp(-(ln(p / (1 - p)) + v))), 4) AS p_rich
+    FROM rows, base, best JOIN leaf ON low = (x <= cut)
+    """
+)
+def leafwise_split(spark: SparkSession, folder: str) -> DataFrame:
+    """One round of one tree with two leaves: the split with the greatest gain and a Newton step in each leaf."""
+    rows = _people(spark, folder).withColumn("features", F.array(F.col("c_nationkey").cast("double"))).withColumn("market", F.lit("all"))
+    model = trees.fit_trees(rows, "features", {"rich": 2}, settings=trees.Settings(rounds=1, leaves=2, rate=1.0))[0]
+    cut = float(model.edges[0][model.trees[0][0].bin[0]])
+    scored = trees.score_trees(rows, [model], "features")
+    return scored.select("c_custkey", (F.col("c_nationkey") <= cut).alias("low"), F.round(F.col("probabilities")[1], 4).alias("p_rich"))
