@@ -5,16 +5,16 @@ from __future__ import annotations
 import datetime
 import uuid
 
-from pyspark.sql import DataFrame, SparkSession, functions as F
+from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
 
 from monthmill.functions import documents
-from monthmill.operators import features, grouped, metrics, models, trees
-from monthmill.operators.routing import FIRST_VARIANT_MARKETS, SECOND_VARIANT_MARKETS, routes
+from monthmill.operators import features, grouped, labels, metrics, models, trees
+from monthmill.operators.routing import FIRST_VARIANT_MARKETS, OWN_LABEL_MARKETS, SECOND_VARIANT_MARKETS, SHARED_LABEL_MARKETS, routes
 from monthmill.operators.slices import day_slice
 from monthmill.plans.registry import query
 from monthmill.plans.stand_ins import MARKET_SQL, REFERENCE_MONTH, REQUEST_ORDER, market_code, user_markets
 from monthmill.session import durable, scratch_path
-from monthmill.sinks import files
+from monthmill.sinks import files, publish
 from monthmill.sources import tables
 
 LABEL = "is_churn"
@@ -189,3 +189,54 @@ def type_models(rows: DataFrame, numbers: list[str], categories: list[str], kind
         done = F.struct(F.col(market), F.col("model_type")).isin(*[F.struct(F.lit(m), F.lit(k)) for m, k in taken])
         by_weights = by_weights.where(~F.coalesce(done, F.lit(False)))
     return by_weights.unionByName(by_trees).drop("_features")
+
+
+def label_job(usage: DataFrame, known: DataFrame, users: DataFrame, kinds: list[str], month: str, base: str, **options) -> str:
+    """The label step of a month: labels of both routes, staged, validated and committed as one run; returns its name."""
+    found = labels.market_labels(usage, known, users, kinds, **options).withColumn("data_month", F.lit(month))
+    rules = {"a label is a class": F.col("label").between(0, 9), "a type that is asked for": F.col("model_type").isin(kinds)}
+    covers = [(market, month) for market in [*OWN_LABEL_MARKETS, *SHARED_LABEL_MARKETS]]
+    return publish.publish(found, base, rules, unique=["user_id", "model_type"], covers=covers)
+
+
+@query(
+    f"""
+    WITH people AS (
+        SELECT c_custkey AS user_id, {MARKET_SQL} AS market,
+            CASE WHEN c_acctbal < 2500 THEN 0 WHEN c_acctbal < 6000 THEN 1 ELSE 2 END AS age, c_custkey % 2 AS gender
+        FROM customer),
+    usage AS (
+        SELECT DISTINCT o_custkey AS user_id, p_type AS app
+        FROM orders JOIN lineitem ON l_orderkey = o_orderkey JOIN part ON p_partkey = l_partkey),
+    long AS (
+        SELECT user_id, market, 'age' AS model_type, age AS label FROM people
+        UNION ALL SELECT user_id, market, 'gender', gender FROM people),
+    own AS (SELECT * FROM long WHERE market IN ({_quoted(OWN_LABEL_MARKETS)})),
+    counted AS (SELECT app, model_type, label, count(*) AS n FROM usage JOIN own USING (user_id) GROUP BY 1, 2, 3),
+    apps AS (
+        SELECT app, model_type, arg_max(label, n * 100 - label) AS label FROM counted
+        GROUP BY 1, 2 HAVING sum(n) >= 3 AND max(n) >= 0.6 * sum(n)),
+    votes AS (
+        SELECT user_id, market, model_type, label, count(*) AS n
+        FROM usage JOIN people USING (user_id) JOIN apps USING (app)
+        WHERE market IN ({_quoted(SHARED_LABEL_MARKETS)}) GROUP BY 1, 2, 3, 4)
+    SELECT user_id, market, 'own' AS label_source, model_type, label::INT AS label, '200107' AS data_month FROM own
+    UNION ALL
+    SELECT user_id, market, 'shared', model_type, arg_max(label, n * 100 - label)::INT, '200107' FROM votes GROUP BY 1, 2, 4
+    """
+)
+def month_labels(spark: SparkSession, folder: str) -> DataFrame:
+    """The label step of both routes, published by market and month and read back through its commit."""
+    orders, lines, parts = (tables.parquet_table(spark, folder, t) for t in ("orders", "lineitem", "part"))
+    bought = orders.join(lines, F.col("o_orderkey") == F.col("l_orderkey")).join(parts, F.col("l_partkey") == F.col("p_partkey"))
+    usage = bought.select(F.col("o_custkey").alias("user_id"), F.col("p_type").alias("app"))
+    money = F.col("c_acctbal")
+    known = tables.parquet_table(spark, folder, "customer").select(
+        F.col("c_custkey").alias("user_id"),
+        F.when(money < 2500, 0).when(money < 6000, 1).otherwise(2).alias("age"),
+        (F.col("c_custkey") % 2).cast("int").alias("gender"),
+    )
+    base = scratch_path(spark, "labels")
+    label_job(usage, known, user_markets(spark, folder), ["age", "gender"], REFERENCE_MONTH.strftime("%Y%m"), base)
+    key = known.schema["user_id"]
+    return publish.published(spark, base, [key, *T.StructType.fromDDL("label_source string, model_type string, label int")])

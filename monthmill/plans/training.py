@@ -334,7 +334,7 @@ def grouped_shares(spark: SparkSession, folder: str) -> DataFrame:
     people = _people(spark, folder)
     values = {"c_mktsegment": _SEGMENTS}
     rows = people.withColumn("features", grouped.features_of(people, [], values))
-    fitted = grouped.fit_groups(rows, "features", {"rich": 2, "age": 3}, penalty=0.0)
+    fitted = grouped.fit_groups(rows, "features", {"rich": 2, "age": 3}, penalty=0.0, rounds=20)
     scored = grouped.score_groups(rows, grouped.model_table(spark, fitted), "features")
     cells = scored.groupBy("market", "c_mktsegment", "model_type", (F.col("model") != grouped.EVERY).alias("own_model"))
     return cells.agg(F.count("*").alias("n"), F.round(F.sum(F.col("probabilities")[1]), 2).alias("expected"))
