@@ -9,6 +9,7 @@ from monthmill.plans.daily import DAY, SLICE_COLUMNS
 from monthmill.plans.registry import query
 from monthmill.plans.stand_ins import event_log
 from monthmill.session import scratch_path
+from monthmill.sources.logreader import arriving_records, can_open
 from monthmill.sources.tables import parquet_table
 from monthmill.streaming import jobs
 
@@ -64,6 +65,7 @@ def stream_log_stats(spark: SparkSession, folder: str) -> DataFrame:
     path = scratch_path(spark, "log")
     event_log(spark, folder).write.text(path)
     base = scratch_path(spark, "stream")
-    logs = jobs.arriving_logs(spark, path)
-    jobs.fold_available(logs, "ts", ["source"], "took", f"{base}/out", f"{base}/checkpoint", prepare=jobs.log_batch)
+    logs = arriving_records(spark, path) if can_open(path) else jobs.arriving_logs(spark, path)
+    prepare = jobs.record_batch if can_open(path) else jobs.log_batch
+    jobs.fold_available(logs, "ts", ["source"], "took", f"{base}/out", f"{base}/checkpoint", prepare=prepare)
     return jobs.folded(spark, f"{base}/out", {"source": "string"}).withColumn("total", F.round("total", 2))

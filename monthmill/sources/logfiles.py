@@ -6,6 +6,7 @@ from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from monthmill.operators.ordered import HOT_ROWS, forward_fill, with_previous
 from monthmill.session import durable, small_side
+from monthmill.sources import logreader
 
 # A record starts with its time in square brackets. The separator opens
 # a record; the scan takes it off all records of a file but the first.
@@ -44,7 +45,13 @@ def log_pieces(spark: SparkSession, path: str) -> DataFrame:
 
 
 def log_records(spark: SparkSession, path: str) -> DataFrame:
-    """Whole records: ``file, record``, the record with its continuation lines. See ``assembled``."""
+    """Whole records: ``file, record``, the record with its continuation lines.
+
+    The files are read once, by ``logreader``. Paths that only Spark can open
+    go through its text source and ``assembled``.
+    """
+    if logreader.can_open(path):
+        return logreader.log_records(spark, path).select("file", "record")
     return assembled(log_pieces(spark, path))
 
 

@@ -41,6 +41,11 @@ def log_batch(pieces: DataFrame) -> DataFrame:
     return measured(log_fields(assembled(pieces.withColumn("place", F.monotonically_increasing_id()))))
 
 
+def record_batch(records: DataFrame) -> DataFrame:
+    """The fields and measures of a batch of ``logreader.arriving_records``."""
+    return measured(log_fields(records.select("file", "record")))
+
+
 def fold_available(
     stream: DataFrame,
     moment: str,
