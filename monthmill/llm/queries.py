@@ -142,7 +142,7 @@ RULES = [urls.Rule("allow", "org", "/"), urls.Rule("block", "example.org", "/es/
 
 @query()
 def op6_url_filter(spark: SparkSession, folder: str) -> DataFrame:
-    found = urls.judge(table(spark, folder, "pages"), RULES, urls.default_model(spark))
+    found = urls.judge(table(spark, folder, "pages"), RULES, urls.default_model())
     return found.select("page_id", "host", "path", "rule", "verdict", "score")
 
 
