@@ -7,7 +7,7 @@ from typing import NamedTuple
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from monthmill.llm.tables import ascii_lower, small_side, stored
+from monthmill.llm.tables import ascii_lower, numbered, small_side, stored
 
 #: Words of benchmark items that are looked up at a time; their tables are then small enough to send to all executors.
 BLOCK_WORDS = 200_000
@@ -38,18 +38,19 @@ def item_words(items: DataFrame, item: str = "item_id", text: str = "text") -> D
     return numbered.select("item", "item_id", F.size("words").alias("n"), F.posexplode("words").alias("at", "word"))
 
 
-def index(docs: DataFrame, words: DataFrame, *, key: str = "doc_id", text: str = "text") -> Index:
+def index(docs: DataFrame, words: DataFrame, *, key: str = "doc_id", text: str = "text", row: str | None = None) -> Index:
     """A positional inverted index of the corpus for the terms of ``words`` (from ``item_words``).
 
     One pass over the texts: each word position that holds such a term becomes a
     posting, stored in text order without a shuffle. An extra posting of term 0
-    per document carries its number of words.
+    per document carries its number of words. ``row`` names a column that
+    numbers the documents already.
     """
     words = stored(words, "items")
     terms = stored(words.select("word").distinct().withColumn("term", F.row_number().over(Window.orderBy("word"))), "terms")
     known = terms.unionByName(terms.sparkSession.createDataFrame([("", 0)], terms.schema))
     parts = F.split(F.coalesce(F.col(text), F.lit("")), _BREAK)
-    whole = docs.select(F.monotonically_increasing_id().alias("row"), F.col(key).alias("key"), parts.alias("parts"))
+    whole = docs.select((F.col(row) if row else F.monotonically_increasing_id()).alias("row"), F.col(key).alias("key"), parts.alias("parts"))
     lead, trail = F.element_at("parts", 1) == "", F.element_at("parts", -1) == ""
     sized = whole.select("row", "key", "parts", lead.cast("int").alias("lead"), F.greatest(F.lit(0), F.size("parts") - lead.cast("int") - trail.cast("int")).alias("n_words"))
     each = sized.select("row", "key", "lead", "n_words", F.posexplode(F.concat("parts", F.array(F.lit("")))).alias("at", "part"))
@@ -157,8 +158,11 @@ def contamination(docs: DataFrame, items: DataFrame, length: int = 10, *, key: s
     words = stored(item_words(items, item, item_text), "items")
     blocks = max(1, -(-words.count() // BLOCK_WORDS))
     stretches, documents = None, None
+    row = None
+    if blocks > 1:  # every block must number the documents alike
+        docs, row = numbered(docs.select(key, text))
     for block in range(blocks):
-        found = index(docs, words.filter(F.pmod(F.col("item"), F.lit(blocks)) == block), key=key, text=text)
+        found = index(docs, words.filter(F.pmod(F.col("item"), F.lit(blocks)) == block), key=key, text=text, row=row)
         names = found.items.select("item", "item_id").distinct()
         part = phrases(found, length).join(F.broadcast(names), "item").select("row", "item_id", "start", "end")
         documents = documents or found.documents
@@ -175,6 +179,7 @@ def contamination(docs: DataFrame, items: DataFrame, length: int = 10, *, key: s
 
 
 def without_contaminated(docs: DataFrame, items: DataFrame, length: int = 10, *, key: str = "doc_id", **names: str) -> DataFrame:
-    """``docs`` without the documents that hold a window of an item. A document without a key cannot be named and stays."""
-    bad = stored(contamination(docs, items, length, key=key, **names).filter("n_hit > 0").select(key).filter(F.col(key).isNotNull()).distinct(), "contaminated")
-    return docs.join(small_side(bad, 16), key, "left_anti")
+    """``docs`` without the rows whose text holds a window of an item; decided per row, whatever its key. Other columns are kept as they are."""
+    rows, row = numbered(docs)
+    bad = stored(contamination(rows, items, length, key=row, **names).filter("n_hit > 0").select(row), "contaminated")
+    return rows.join(small_side(bad, 16), row, "left_anti").select(*docs.columns)

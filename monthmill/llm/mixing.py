@@ -7,7 +7,7 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from monthmill.llm.tables import small_side, stored
+from monthmill.llm.tables import numbered, small_side, stored
 
 #: Rows per interval of keys, on average; each interval is one group of a window.
 INTERVAL = 2_000
@@ -35,7 +35,7 @@ def source_targets(sizes: DataFrame, weights: Sequence[float] = (5, 2, 1), share
     return leveled.withColumn("target", F.when(level.isNull(), F.col("full")).otherwise(F.least("full", F.col("weight") * level))).select(*sizes.columns, "target")
 
 
-def mix(docs: DataFrame, weights: Sequence[float] = (5, 2, 1), share: float = 1.5, most: float = 2.0, seed: int = 0, *, key: str = "doc_id", text: str = "text", source: str = "source") -> DataFrame:
+def mix(docs: DataFrame, weights: Sequence[float] = (5, 2, 1), share: float = 1.5, most: float = 2.0, seed: int = 0, *, key: str = "doc_id", text: str = "text", source: str = "source", row: str | None = None) -> DataFrame:
     """How much of each document a mix takes: rows (key, source, size, source_size, target, taken, row_key), one per document.
 
     Size is the number of words. Each document gets a hash-random key of its
@@ -47,43 +47,51 @@ def mix(docs: DataFrame, weights: Sequence[float] = (5, 2, 1), share: float = 1.
     counts words with repeats, at most ``most`` (rounded up) times the size.
 
     Null texts have size 0; null sources are one source. Rows that repeat one
-    identifier and text are separate rows that share a key. An empty table
-    gives an empty table. Reruns agree.
+    identifier and text are separate rows that share a key; ``row``, a column
+    that numbers the rows, puts them in order and is returned as ``row``. An
+    empty table gives an empty table. Reruns agree.
     """
     random = F.md5(F.concat_ws("|", F.lit(str(seed)), F.col(key).cast("string"), F.col(text)).cast("binary"))
     words = F.coalesce(F.regexp_count(F.col(text), F.lit(r"[^\x20\x09-\x0D]+")), F.lit(0)).cast("long")
-    sized = stored(docs.select(F.col(key).alias("_id"), F.col(source).alias("source"), words.alias("size"), random.alias("row_key")), "sizes")
+    sized = stored(docs.select(F.col(key).alias("_id"), F.col(source).alias("source"), words.alias("size"), random.alias("row_key"), (F.col(row) if row else F.lit(0).cast("long")).alias("row")), "sizes")
     totals = sized.groupBy("source").agg(F.sum("size").alias("source_size"), F.count("*").alias("n"))
     targets = stored(source_targets(totals, weights, share, most).withColumn("intervals", F.ceil(F.col("n") / INTERVAL)), "targets")
     place = (F.conv(F.substring("row_key", 1, 8), 16, 10).cast("double") / float(1 << 32) * F.col("intervals")).cast("long")
     same = sized["source"].eqNullSafe(targets["source"])
-    placed = sized.join(targets, same).select("_id", sized["source"], "size", "row_key", "source_size", "target", place.alias("interval"))
+    placed = sized.join(targets, same).select("_id", sized["source"], "size", "row_key", "row", "source_size", "target", place.alias("interval"))
     intervals = placed.groupBy("source", "interval").agg(F.sum("size").alias("words"))
     ahead = F.coalesce(F.sum("words").over(Window.partitionBy("source").orderBy("interval").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
     starts = intervals.select(F.col("source").alias("_source"), F.col("interval").alias("_interval"), ahead.alias("_ahead"))
-    within = F.coalesce(F.sum("size").over(Window.partitionBy("source", "interval").orderBy("row_key", "_id", "size").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
+    within = F.coalesce(F.sum("size").over(Window.partitionBy("source", "interval").orderBy("row_key", "_id", "size", "row").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
     sums = placed.withColumn("within", within).join(starts, F.col("source").eqNullSafe(F.col("_source")) & (F.col("interval") == F.col("_interval")))
     whole = F.coalesce(F.floor(F.col("target") / F.when(F.col("source_size") > 0, F.col("source_size"))), F.lit(0))
     left = F.col("target") - whole * F.col("source_size")
-    once_more = (F.col("_ahead") + F.col("within") + F.col("size") / 2 <= left).cast("long")
-    return sums.select(F.col("_id").alias(key), "source", "size", "source_size", "target", ((whole + once_more) * F.col("size")).alias("taken"), "row_key", whole.alias("whole"), (whole + once_more).alias("copies"))
+    # Where nothing is left, rows of size 0 are not taken once more either.
+    once_more = ((left > 0) & (F.col("_ahead") + F.col("within") + F.col("size") / 2 <= left)).cast("long")
+    return sums.select(F.col("_id").alias(key), "source", "size", "source_size", "target", ((whole + once_more) * F.col("size")).alias("taken"), "row_key", "row", whole.alias("whole"), (whole + once_more).alias("copies"))
 
 
 def mixed(docs: DataFrame, *args, key: str = "doc_id", text: str = "text", source: str = "source", seed: int = 0, **options) -> DataFrame:
     """The mix itself: the rows of ``docs`` that ``mix`` takes, each as often as it is taken, with ``epoch`` from 1 on.
 
-    In the order of keys a source is taken once more up to a cut, so a row per
-    source says what becomes of a document, and texts are not moved. Rows of
-    one identifier and text share a key and are taken together. Documents
-    without words are taken like others at the place of their key. A column
-    named epoch is replaced.
+    The rows are stored with a number. In the order of keys, and of these
+    numbers among equal keys, a source is taken once more up to a cut, so a
+    row per source says what becomes of a document, and texts are not moved.
+    Each row of one identifier and text is decided by itself: the mix has
+    exactly the copies of ``mix``. Documents without words are taken like
+    others at the place of their key. A column named epoch is replaced, all
+    others are kept as they are.
     """
-    plan = mix(docs, *args, key=key, text=text, source=source, seed=seed, **options)
-    cuts = plan.groupBy("source").agg(F.max("whole").alias("_whole"), F.max(F.when(F.col("copies") > F.col("whole"), F.col("row_key"))).alias("_cut"))
-    cuts = stored(cuts.withColumnRenamed("source", "_source"), "cuts")
+    rows, row = numbered(docs)
+    plan = mix(rows, *args, key=key, text=text, source=source, seed=seed, row=row, **options)
+    order = F.struct("row_key", "row")
+    cuts = plan.groupBy("source").agg(F.max("whole").alias("whole"), F.max(F.when(F.col("copies") > F.col("whole"), order)).alias("cut"))
+    cuts = small_side(stored(cuts, "cuts").select(F.struct("source", "whole", "cut").alias(f"{row}cut")), 256)
     random = F.md5(F.concat_ws("|", F.lit(str(seed)), F.col(key).cast("string"), F.col(text)).cast("binary"))
     own = [c for c in docs.columns if c != "epoch"]
-    joined = docs.select(*own, random.alias("_row_key")).join(small_side(cuts, 256), F.col(source).eqNullSafe(F.col("_source")))
-    copies = F.col("_whole") + F.coalesce(F.col("_row_key") <= F.col("_cut"), F.lit(False)).cast("long")
+    joined = rows.join(cuts, F.col(source).eqNullSafe(F.col(f"{row}cut.source")))
+    here = F.struct(random.alias("row_key"), F.col(row).alias("row"))
+    copies = F.col(f"{row}cut.whole") + F.coalesce(here <= F.col(f"{row}cut.cut"), F.lit(False)).cast("long")
     # A sequence of no copies would count down.
-    return joined.withColumn("_copies", copies.cast("int")).filter("_copies > 0").select(*own, F.explode(F.sequence(F.lit(1), F.col("_copies"))).alias("epoch"))
+    epochs = F.when(copies > 0, F.sequence(F.lit(1), copies.cast("int"))).otherwise(F.array().cast("array<int>"))
+    return joined.select(*own, F.explode(epochs).alias("epoch"))

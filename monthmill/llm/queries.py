@@ -30,6 +30,7 @@ def table(spark: SparkSession, folder: str, name: str) -> DataFrame:
 
 @query()
 def op2_simhash_near_dedup(spark: SparkSession, folder: str) -> DataFrame:
+    """Fingerprint and component of every document: shingles of 3 words, links at 3 bits."""
     found = simhash.near_duplicates(table(spark, folder, "documents"), shingle=3, bits=3)
     return found.select("doc_id", simhash.hexadecimal("fp").alias("fingerprint"), "component_id")
 
@@ -52,6 +53,7 @@ FROM marked GROUP BY doc_id
 
 @query(_LINES_SQL)
 def op9_line_dedup(spark: SparkSession, folder: str) -> DataFrame:
+    """Every document's lines, without the long lines that 5 or more documents share."""
     found = lines.drop_repeated_lines(table(spark, folder, "documents").select("doc_id", "text"), least=40, documents=5)
     return found.select("doc_id", "n_lines", "n_dropped", F.sha2(F.coalesce("text", F.lit("")), 256).alias("kept_sha256"))
 
@@ -78,7 +80,7 @@ WITH RECURSIVE sized AS (
     CASE WHEN source_size > 0 THEN floor(target / source_size)::BIGINT ELSE 0 END AS whole
   FROM sized JOIN targets USING (source)
 )
-SELECT doc_id, size::BIGINT AS size, source_size, round(target, 3) AS target,
+SELECT doc_id, size::BIGINT AS size, source_size, target,
   ((whole + CASE WHEN before + size / 2 <= target - whole * source_size THEN 1 ELSE 0 END) * size)::BIGINT AS taken
 FROM summed
 """
@@ -86,8 +88,9 @@ FROM summed
 
 @query(_MIX_SQL)
 def op3_source_mixing(spark: SparkSession, folder: str) -> DataFrame:
+    """How many words the mix takes of every document."""
     found = mixing.mix(table(spark, folder, "documents"), weights=(5, 2, 1), share=1.5, most=2.0)
-    return found.select("doc_id", "size", "source_size", F.round("target", 3).alias("target"), "taken")
+    return found.select("doc_id", "size", "source_size", "target", "taken")
 
 
 _LEAKS_SQL = r"""
@@ -115,6 +118,7 @@ FROM d LEFT JOIN words USING (r) LEFT JOIN listed USING (r)
 
 @query(_LEAKS_SQL)
 def op4_benchmark_decontamination(spark: SparkSession, folder: str) -> DataFrame:
+    """The words of every document that stand in windows of 10 words of benchmark items."""
     found = decontaminate.contamination(table(spark, folder, "documents"), table(spark, folder, "benchmark"), length=10)
     digest = F.sha2(F.array_join("items", ","), 256).alias("items_sha256")
     return found.select("doc_id", "n_words", "n_hit", F.size("items").cast("long").alias("n_items"), digest, (F.col("n_hit") > 0).alias("contaminated"))
@@ -122,6 +126,7 @@ def op4_benchmark_decontamination(spark: SparkSession, folder: str) -> DataFrame
 
 @query()
 def op1_quality_classifier(spark: SparkSession, folder: str) -> DataFrame:
+    """Quality of every document, learned from the labels of three quarters of them."""
     docs = table(spark, folder, "documents")
     found = quality.score(docs, quality.fit(docs, table(spark, folder, "labels")))
     held_out = F.coalesce(remainder("doc_id", 4) == 2, F.lit(False)).alias("held_out")
@@ -130,6 +135,7 @@ def op1_quality_classifier(spark: SparkSession, folder: str) -> DataFrame:
 
 @query()
 def op5_language_id(spark: SparkSession, folder: str) -> DataFrame:
+    """Language of every document, learned from four fifths of them."""
     docs = table(spark, folder, "documents")
     found = langid.identify(docs, langid.fit(docs))
     held_out = F.coalesce(remainder("doc_id", 5) == 0, F.lit(False)).alias("held_out")
@@ -142,23 +148,27 @@ RULES = [urls.Rule("allow", "org", "/"), urls.Rule("block", "example.org", "/es/
 
 @query()
 def op6_url_filter(spark: SparkSession, folder: str) -> DataFrame:
+    """A verdict for the URL of every page: by rule, else by the model."""
     found = urls.judge(table(spark, folder, "pages"), RULES, urls.default_model())
     return found.select("page_id", "host", "path", "rule", "verdict", "score")
 
 
 @query()
 def op7_html_extraction(spark: SparkSession, folder: str) -> DataFrame:
+    """Main text of every page."""
     return html.extract(table(spark, folder, "pages"))
 
 
 @query()
 def op8_lm_scoring(spark: SparkSession, folder: str) -> DataFrame:
+    """Difference of a target and a background model's loss per token, for every document."""
     docs = table(spark, folder, "documents")
     return lm.score(docs, lm.fit(docs, table(spark, folder, "labels").filter("quality = 1")))
 
 
 @query()
 def op10_embedding_near_dedup(spark: SparkSession, folder: str) -> DataFrame:
+    """Links and components of all vectors at a cosine of 0.95."""
     return embeddings.near_duplicates(table(spark, folder, "embeddings"), least=0.95)
 
 

@@ -13,7 +13,7 @@ from pyspark.sql import functions as F
 from xxhash import xxh64_intdigest
 
 from monthmill.llm.graph import components, local_components
-from monthmill.llm.tables import byte_texts, share, stored
+from monthmill.llm.tables import byte_texts, numbered, share, small_side, stored
 
 #: Fingerprints from which vantage points and radii are chosen. They shape the tree, not its results.
 SAMPLE = 1 << 16
@@ -213,20 +213,14 @@ def hexadecimal(column: str):
 
 
 def without_near_duplicates(docs: DataFrame, shingle: int = 3, bits: int = 3, *, key: str = "doc_id", text: str = "text") -> DataFrame:
-    """``docs`` with one document of each group of near duplicates, the one with the smallest key.
+    """``docs`` with one row of each group of near duplicates, the one with the smallest key, a null key last.
 
-    Rows that repeat a key are one document and become one row (that of the
-    smallest text). A document without a key cannot be named by a decision and
-    stays.
+    Decisions are made per row: rows that share a key are documents of their
+    own, and one of several equal rows stays. Columns of any type and name are
+    kept as they are. An empty table gives an empty table.
     """
-    found = stored(near_duplicates(docs, shingle, bits, key=key, text=text), "near-duplicates")
-    kept = found.groupBy("group").agg(F.min(key).alias("kept")).select(F.col("kept").alias(key)).filter(F.col(key).isNotNull())
-    gone = stored(found.filter(F.col(key).isNotNull()).select(key).distinct().join(kept, key, "left_anti"), "removed")
-    left = docs.join(gone, key, "left_anti")
-    twice = stored(found.filter(F.col(key).isNotNull()).groupBy(key).count().filter("count > 1").select(key), "repeated")
-    if twice.isEmpty():
-        return left
-    once = left.join(twice, key, "left_anti")
-    smallest = left.join(twice, key, "left_semi").groupBy(key).agg(F.min(F.struct(text, F.struct(*[c for c in docs.columns if c not in (key, text)]).alias("rest"))).alias("row"))
-    rest = [F.col(f"row.rest.`{c}`").alias(c) for c in docs.columns if c not in (key, text)]
-    return once.unionByName(smallest.select(key, F.col(f"row.{text}").alias(text), *rest))
+    rows, row = numbered(docs)
+    who = F.struct(F.col(key).isNull().alias("unnamed"), F.col(key).alias("key"), F.col(row).alias("row"))
+    found = near_duplicates(rows.select(who.alias("who"), F.col(text).alias("text")), shingle, bits, key="who", text="text")
+    gone = stored(found.filter(F.col("who") != F.col("component_id")).select(F.col("who.row").alias(row)), "removed")
+    return rows.join(small_side(gone, 16), row, "left_anti").select(*docs.columns)

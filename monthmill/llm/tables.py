@@ -23,6 +23,14 @@ def stored(df: DataFrame, label: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+def numbered(docs: DataFrame) -> tuple[DataFrame, str]:
+    """``docs`` stored with a number per row, and the name of that column: decisions then name rows, not keys that may repeat or be null."""
+    name = "_row"
+    while name in {c.lower() for c in docs.columns}:
+        name += "_"
+    return stored(docs.withColumn(name, F.monotonically_increasing_id()), "numbered"), name
+
+
 def small_side(df: DataFrame, row_bytes: int) -> DataFrame:
     """A stored table as the small side of a join: sent to all if its checked size allows, shuffled otherwise."""
     return F.broadcast(df) if df.count() * row_bytes <= BROADCAST_BYTES else df

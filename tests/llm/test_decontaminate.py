@@ -59,9 +59,21 @@ def test_contamination(spark, monkeypatch):
 def test_clean_documents_stay(spark):
     docs, items = case(3)
     kept = without_contaminated(*frames(spark, docs, items))
-    bad = {key for key, _, n, _ in slow(docs, items) if n}
     assert kept.columns == ["doc_id", "text", "term", "row"]
-    assert sorted((r.doc_id for r in kept.collect()), key=repr) == sorted((k for k, _ in docs if k is None or k not in bad), key=repr)
+    clean = [(k, t) for k, t in docs if not slow([(k, t)], items)[0][2]]
+    assert sorted(((r.doc_id, r.text) for r in kept.collect()), key=repr) == sorted(clean, key=repr)
+
+
+def test_rows_are_decided_by_themselves(spark, monkeypatch):
+    """A contaminated row takes no other row of its key with it, and goes without a key, in one block of items and in several."""
+    bad = "one two three four five six seven eight nine ten"
+    rows = [(1, "clean words", {"k": 1}), (1, f"x {bad} y", {"k": 2}), (None, bad, None), (None, "clean words", None)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, m map<string,int>")
+    items = spark.createDataFrame([(1, bad), (2, "other words that stand nowhere at all in these texts here")], "item_id long, text string")
+    for words in (200_000, 5):
+        monkeypatch.setattr(decontaminate, "BLOCK_WORDS", words)
+        kept = without_contaminated(docs, items)
+        assert sorted(map(tuple, kept.collect()), key=repr) == sorted([rows[0], rows[3]], key=repr)
 
 
 def test_proximity(spark):

@@ -68,6 +68,22 @@ def test_mix_with_null_sources_and_words_of_none(spark):
     assert {r.doc_id: r["count"] for r in mixing.mixed(docs).groupBy("doc_id").count().collect()} == {k: n for k, n in taken.items() if n}
 
 
+def test_repeated_rows_are_cut_one_by_one(spark):
+    """The mix takes the words that ``mix`` says, also of rows that share key and text; no row comes more often than allowed."""
+    rows = [(None, "w " * 20, "b")] * 100 + [(k, "w " * 30, "a") for k in range(100)] + [(None, "", "c")] * 17 + [(k, "v v v", "c") for k in range(5)]
+    docs = spark.createDataFrame([(*r, {"k": 1}, 5) for r in rows], "doc_id long, text string, source string, m map<string,int>, _row int").repartition(4)
+    taken, words = defaultdict(int), defaultdict(int)
+    targets = {}
+    for r in mixing.mix(docs).collect():
+        taken[r.source] += r.taken
+        targets[r.source] = r.target
+    found = mixing.mixed(docs).collect()
+    for r in found:
+        words[r.source] += len(r.text.split())
+    assert {s: words[s] for s in taken} == dict(taken)
+    assert all(abs(words[s] - targets[s]) <= 15 for s in targets) and max(r.epoch for r in found) <= 2
+
+
 def test_empty_tables(spark):
     assert mixing.mix(frame(spark, [(1, "a", "s")]).limit(0)).collect() == []
     assert [r.taken for r in mixing.mix(frame(spark, [(1, None, None)])).collect()] == [0]

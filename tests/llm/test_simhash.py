@@ -104,4 +104,14 @@ def test_one_of_each_group_stays(spark):
     docs = spark.createDataFrame(rows, "doc_id long, text string, source string")
     kept = simhash.without_near_duplicates(docs)
     assert kept.columns == docs.columns
-    assert sorted(map(tuple, kept.collect()), key=repr) == sorted([rows[1], rows[2], rows[4], rows[6]], key=repr)
+    assert sorted(map(tuple, kept.collect()), key=repr) == sorted([rows[1], rows[2], rows[6]], key=repr)
+
+
+def test_rows_are_decided_by_themselves(spark):
+    """One key with two texts, keys that are null, a map beside, a column with the name of the row number."""
+    a, b, c = "first text of four words", "quite another text this is", "and a third one here now"
+    rows = [(1, a, {"k": 1}, 0), (1, b, {"k": 2}, 0), (2, c, {}, 0), (3, a, None, 0), (None, c, {"k": 3}, 0), (None, "a text without a key", None, 0), (None, "a text without a key", None, 0)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, m map<string,int>, _row int")
+    kept = simhash.without_near_duplicates(docs)
+    assert kept.columns == docs.columns
+    assert sorted(map(tuple, kept.collect()), key=repr) == sorted([rows[0], rows[1], rows[2], rows[5]], key=repr)
