@@ -31,6 +31,10 @@ _HIGH = np.arange(256) >= 0x80
 _MARK = np.random.default_rng(0).integers(0, 1 << 62, 256).astype(np.uint64)
 
 
+#: Bytes of text scored at a time; each costs about 30 bytes of working memory.
+PIECE = 4 << 20
+
+
 class Field(NamedTuple):
     """Weights of a line's and its neighbours' features for the label good, and of label pairs (log factors)."""
 
@@ -161,13 +165,21 @@ def fit(docs: DataFrame, labels: DataFrame, *, key: str = "doc_id", text: str =
 
 
 def score(docs: DataFrame, field: Field, *, key: str = "doc_id", text: str = "text") -> DataFrame:
-    """(key, score) for every row, from the text alone; null is an empty text. Repeated rows give repeated rows."""
+    """(key, score) for every row, from the text alone; null is an empty text. Repeated rows give repeated rows.
+
+    Equal texts have equal scores. Texts are worked on in slices of about
+    ``PIECE`` bytes, whole texts each; an empty table gives an empty table.
+    """
     sent = docs.sparkSession.sparkContext.broadcast(field)
 
     def run(parts: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for part in parts:
-            for at in range(0, part.num_rows, 1000):
-                piece = part.slice(at, 1000)
+            ends = buffers(part.column(1))[1]
+            at = 0
+            while at < part.num_rows:
+                stop = max(at + 1, int(np.searchsorted(ends, ends[at] + PIECE, side="right")) - 1)
+                piece = part.slice(at, min(stop, at + 1000) - at)
+                at += piece.num_rows
                 yield pa.RecordBatch.from_arrays([piece.column(0), pa.array(quality(sent.value, piece.column(1)), pa.float64())], names=[key, "score"])
 
     return docs.select(key, text).mapInArrow(run, docs.select(key).schema.add("score", "double"))
