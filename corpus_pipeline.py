@@ -1,4 +1,8 @@
-"""From documents to a training mix: five stages, each over all rows that the one before kept."""
+"""From documents to a training mix: five stages, each over all rows that the one before kept.
+
+Every row is a document of its own, also where doc_id repeats or is null. An
+empty table passes all stages as one. Extra columns are kept as they are.
+"""
 
 from __future__ import annotations
 
@@ -10,7 +14,7 @@ from monthmill.llm.tables import stored
 
 
 def language_id(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents whose language is found with enough certainty."""
+    """Documents whose language is found with enough certainty; texts that are null or without letters go."""
     return langid.accepted(docs, langid.fit(docs))
 
 
@@ -27,12 +31,12 @@ def simhash_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFram
 
 
 def decontamination(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents without any window of 10 words of a benchmark item."""
+    """Documents without any window of 10 words of a benchmark item; texts without words stay."""
     return decontaminate.without_contaminated(docs, spark.read.parquet(f"{sf_dir}/benchmark.parquet"), length=10)
 
 
 def mix(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """The mix of sources by weight: each document as often as it is taken, numbered by epoch."""
+    """The mix of sources by weight: each document as often as it is taken, numbered by epoch. Null texts have size 0, null sources are one source."""
     return mixing.mixed(docs, weights=(5, 2, 1), share=1.5, most=2.0)
 
 
