@@ -4,6 +4,8 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, functions as F
 
+from monthmill.operators.ordered import HOT_ROWS, with_previous
+
 # The layout of a log record and of the messages measured.
 HEADER = r"^\[([^\]]+)\] \{([^:}]+):(\d+)\} ([A-Z]+) - "
 TIME = "yyyy-MM-dd'T'HH:mm:ss.SSSZ"
@@ -12,6 +14,7 @@ SOURCE_FILE = (
     r"^(?:Started process .* to work on|Processing file|Processing|Filling up the DagBag from|Failed to import:"
     r"|No viable dags retrieved from|DAG\(s\) .* retrieved from) (/\S+)"
 )
+STARTED = r"^Started process \(PID=(\d+)\) to work on "
 PIPELINE_LIST = r"dict_keys\(\[(.*?)\]\)"
 QUOTED = r"'([^']*)'"
 
@@ -119,6 +122,41 @@ def file_stats(records: DataFrame, file: str = "source") -> DataFrame:
     )
 
 
+def process_id(message: Column) -> Column:
+    """The process that a message says was started, NULL for other messages."""
+    return F.nullif(F.regexp_extract(message, STARTED, 1), F.lit("")).cast("long")
+
+
+def run_spans(records: DataFrame, file: str = "source", hot_rows: int = HOT_ROWS) -> DataFrame:
+    """Runs of each file from the records of their start and end: ``file, pid, started, ended, took, state``.
+
+    A run is ``finished`` if the next start or end of its file is an end,
+    ``open`` if it is another start or there is none, and an end without a
+    start before it is ``unstarted``. Records at one time count starts first,
+    then by process and duration. The window is split for files with very many
+    records.
+    """
+    marked = records.withColumn("pid", process_id(F.col("message"))).where(F.col("pid").isNotNull() | F.col("took").isNotNull())
+    rows = marked.select(file, "ts", F.col("pid").isNull().alias("ends"), F.coalesce("pid", F.lit(-1)).alias("pid"), F.coalesce("took", F.lit(-1.0)).alias("took"))
+    rows = rows.withColumn("here", F.struct("ts", "ends", "pid", "took"))
+    order = ["ts", "ends", "pid", "took"]
+    placed = with_previous(rows, [file], order, "here", "before", hot_rows)
+    started = ~F.col("before.ends")
+    nothing = F.lit(None).cast("timestamp_ntz")
+
+    def run(start: Column, end: Column, took: Column, pid: Column, state: str) -> Column:
+        return F.struct(pid.alias("pid"), start.alias("started"), end.alias("ended"), took.alias("took"), F.lit(state).alias("state"))
+
+    none, no_pid = F.lit(None).cast("double"), F.lit(None).cast("long")
+    finished = F.when(F.col("ends") & started, run(F.col("before.ts"), F.col("ts"), F.col("took"), F.col("before.pid"), "finished"))
+    unstarted = F.when(F.col("ends"), run(nothing, F.col("ts"), F.col("took"), no_pid, "unstarted"))
+    left_open = F.when(~F.col("ends") & started, run(F.col("before.ts"), nothing, none, F.col("before.pid"), "open"))
+    closed = placed.select(file, F.coalesce(finished, unstarted, left_open).alias("run")).where(F.col("run").isNotNull())
+    last = rows.groupBy(file).agg(F.max("here").alias("here")).where(~F.col("here.ends"))
+    still = last.select(file, run(F.col("here.ts"), nothing, none, F.col("here.pid"), "open").alias("run"))
+    return closed.unionByName(still).select(file, "run.*")
+
+
 def latest_runs(records: DataFrame, file: str = "source", ties: list[str] | None = None) -> DataFrame:
     """Per file: the last record with a duration. ``ties`` decides between equal times.
 

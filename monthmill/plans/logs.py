@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from monthmill.operators import logs
 from monthmill.plans.registry import query
-from monthmill.plans.stand_ins import event_log
+from monthmill.plans.stand_ins import event_log, run_log
 from monthmill.session import scratch_path
 from monthmill.sources.logfiles import log_records
 
@@ -84,3 +84,26 @@ def log_stats(spark: SparkSession, folder: str) -> DataFrame:
 def log_latest(spark: SparkSession, folder: str) -> DataFrame:
     """The last run of each file and how long it took."""
     return logs.latest_runs(_records(spark, folder))
+
+
+@query(
+    """
+    WITH marks AS (
+        SELECT user_id, date_trunc('millisecond', ts) AS ts, event_type <> 'view' AS ends,
+            CASE WHEN event_type = 'view' THEN event_id ELSE -1 END AS pid, CASE WHEN event_type = 'view' THEN -1.0 ELSE value END AS took
+        FROM events WHERE event_type IN ('view', 'click', 'purchase')),
+    near AS (
+        SELECT *, lag(ends) OVER w AS ended_before, lag(ts) OVER w AS ts_before, lag(pid) OVER w AS pid_before,
+            lead(ends) OVER w AS ends_next
+        FROM marks WINDOW w AS (PARTITION BY user_id ORDER BY ts, ends, pid, took))
+    SELECT '/d/u' || user_id || '.py' AS source, CASE WHEN NOT ended_before THEN pid_before END AS pid,
+        CASE WHEN NOT ended_before THEN ts_before END AS started, ts AS ended, took,
+        CASE WHEN NOT ended_before THEN 'finished' ELSE 'unstarted' END AS state
+    FROM near WHERE ends
+    UNION ALL
+    SELECT '/d/u' || user_id || '.py', pid, ts, NULL, NULL, 'open' FROM near WHERE NOT ends AND NOT coalesce(ends_next, false)
+    """
+)
+def log_runs(spark: SparkSession, folder: str) -> DataFrame:
+    """Runs of each file: starts paired with their ends, open ones and ends without a start."""
+    return logs.run_spans(logs.measured(logs.log_fields(run_log(spark, folder))))

@@ -5,8 +5,9 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from monthmill.functions import dates
-from monthmill.operators import features, lookups, routing, shares
+from monthmill.operators import features, lookups, monthstore, routing, shares
 from monthmill.plans.registry import query
+from monthmill.session import scratch_path
 from monthmill.plans.stand_ins import (
     MARKET_SQL,
     REFERENCE_MONTH,
@@ -207,6 +208,16 @@ _FEATURES_SQL = f"""
 """
 
 
+@query(_FEATURES_SQL % _periods_from("2001-07-01"))
+def stored_month_features(spark: SparkSession, folder: str) -> DataFrame:
+    """The same features from a table with a row per user and month, to which one month at a time was added."""
+    orders = parquet_table(spark, folder, "orders")
+    base = scratch_path(spark, "months")
+    for back in reversed(range(features.PERIODS)):
+        monthstore.store_month(orders, base, "o_custkey", REQUEST_ORDER, "o_orderpriority", features.month_shift(REFERENCE_MONTH, -back))
+    return monthstore.stored_features(spark, base, orders.schema["o_custkey"], orders.schema["o_orderpriority"], REFERENCE_MONTH)
+
+
 @query(_FEATURES_SQL % _periods_from("2001-07-01"))
 def request_features(spark: SparkSession, folder: str) -> DataFrame:
     """All features of a user in one table."""

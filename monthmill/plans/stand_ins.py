@@ -83,3 +83,13 @@ def event_log(spark: SparkSession, folder: str) -> DataFrame:
     kind = F.col("event_type")
     record = F.when(kind == "error", error).when(kind == "signup", listed).when(kind == "view", warning).otherwise(took)
     return events.select(record.alias("record"))
+
+
+def run_log(spark: SparkSession, folder: str) -> DataFrame:
+    """Log records of starts (from views) and ends (from clicks and purchases) of runs, in column ``record``."""
+    events = parquet_table(spark, folder, "events").where(F.col("event_type").isin("view", "click", "purchase"))
+    stamp = F.concat(F.lit("["), F.date_format("ts", "yyyy-MM-dd'T'HH:mm:ss.SSS"), F.lit("+0000] "))
+    path = F.concat(F.lit("/d/u"), F.col("user_id").cast("string"), F.lit(".py"))
+    start = F.concat(stamp, F.lit("{processor.py:153} INFO - Started process (PID="), F.col("event_id").cast("string"), F.lit(") to work on "), path)
+    end = F.concat(stamp, F.lit("{processor.py:161} INFO - Processing "), path, F.lit(" took "), F.col("value").cast("string"), F.lit(" seconds"))
+    return events.select(F.when(F.col("event_type") == "view", start).otherwise(end).alias("record"))

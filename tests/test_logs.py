@@ -132,3 +132,31 @@ def test_a_line_that_is_no_record_keeps_its_text(spark):
     df = spark.createDataFrame([("hello\nworld",)], "record string")
     row = logs.log_fields(df).first()
     assert (row.message, row.continuation, row.level, row.ts) == ("hello", "world", None, None)
+
+
+def test_runs_from_starts_and_ends(spark):
+    at = lambda s: datetime.datetime(2022, 1, 1, 0, 0, s)
+    start = lambda pid: f"Started process (PID={pid}) to work on /d/f.py"
+    data = [
+        ("f", at(0), "Processing /d/f.py took 0.1 seconds", 0.1),
+        ("f", at(1), start(7), None),
+        ("f", at(2), "Processing file /d/f.py for tasks to queue", None),
+        ("f", at(3), "Processing /d/f.py took 2 seconds", 2.0),
+        ("f", at(4), start(8), None),
+        ("f", at(5), start(9), None),
+        ("f", at(5), "Processing /d/f.py took 0 seconds", 0.0),
+        ("f", at(6), start(10), None),
+        ("g", at(1), start(11), None),
+    ]
+    df = spark.createDataFrame(data, "source string, ts timestamp_ntz, message string, took double")
+    expected = [
+        ("f", None, None, at(0), 0.1, "unstarted"),
+        ("f", 7, at(1), at(3), 2.0, "finished"),
+        ("f", 8, at(4), None, None, "open"),
+        ("f", 9, at(5), at(5), 0.0, "finished"),
+        ("f", 10, at(6), None, None, "open"),
+        ("g", 11, at(1), None, None, "open"),
+    ]
+    for hot in (1_000_000, 3):
+        assert rows(logs.run_spans(df, hot_rows=hot)) == sorted(expected, key=repr)
+    assert logs.run_spans(df.limit(0)).collect() == []

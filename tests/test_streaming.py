@@ -83,6 +83,49 @@ def test_files_out_of_time_order_lose_nothing(spark, tmp_path):
     assert got[START + datetime.timedelta(days=4), "g"] == (1, None, None)
 
 
+def test_parts_are_merged_and_nothing_counts_twice(spark, tmp_path, monkeypatch):
+    """Many batches leave few folders; a merge that fails and a batch that runs again change nothing."""
+    folder, out = str(tmp_path / "in"), str(tmp_path / "parts")
+    schema = spark.createDataFrame([], SCHEMA).schema
+    given = []
+
+    def step(batches):
+        for _ in range(batches):
+            i = len(given)
+            given.append((i, (i * 37) % 11 * 30, "fg"[i % 2], float(i)))
+            add_file(spark, folder, given[-1:])
+        jobs.fold_available(jobs.arriving_files(spark, folder, schema, "*.parquet", 1), "ts", ["file"], "took", out, str(tmp_path / "cp"), slots=3)
+
+    def check():
+        expected = {}
+        for _, at, file, took in given:
+            key = START + datetime.timedelta(seconds=at), file
+            n, total, largest = expected.get(key, (0, 0.0, 0.0))
+            expected[key] = n + 1, total + took, max(largest, took)
+        found = jobs.folded(spark, out, {"file": "string"}).collect()
+        assert {(r.window_start, r.file): (r.n, r.total, r.largest) for r in found} == expected
+
+    step(7)
+    check()
+    whole = jobs._merged
+
+    def broken(*given):
+        raise RuntimeError("lost")
+
+    monkeypatch.setattr(jobs, "_merged", broken)
+    with pytest.raises(Exception):
+        step(2)  # batch 8 fills the last slot and fails in the merge
+    monkeypatch.setattr(jobs, "_merged", whole)
+    check()
+    step(4)
+    check()
+    assert len(list((tmp_path / "parts" / "parts").glob("slot=*"))) == 3
+    assert len(list((tmp_path / "parts" / "generations").glob("slot=*"))) == 2
+    # The last batch runs again after its merge.
+    newest, upto = jobs._generation(spark, out)
+    assert upto == 11 and newest in (0, 1)
+
+
 def test_stream_assembles_records_as_a_batch_does(spark, tmp_path):
     from monthmill.sources.logfiles import log_records
 
