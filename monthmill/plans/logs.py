@@ -4,10 +4,10 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from monthmill.operators import logs
+from monthmill.operators import logs, sketches
 from monthmill.plans.registry import query
 from monthmill.plans.stand_ins import event_log, run_log
-from monthmill.session import scratch_path
+from monthmill.session import durable, scratch_path
 from monthmill.sources.logfiles import log_records
 
 _RUNS = "event_type IN ('click', 'purchase')"
@@ -107,3 +107,22 @@ def log_latest(spark: SparkSession, folder: str) -> DataFrame:
 def log_runs(spark: SparkSession, folder: str) -> DataFrame:
     """Runs of each file: starts paired with their ends, open ones and ends without a start."""
     return logs.run_spans(logs.measured(logs.log_fields(run_log(spark, folder))))
+
+
+@query(
+    f"""
+    SELECT '/d/u' || user_id || '.py' AS source, count(*) AS n_runs, min(value) AS min_took, max(value) AS max_took, true AS median_in_bounds
+    FROM events WHERE {_RUNS} GROUP BY user_id
+    """
+)
+def log_duration_sketches(spark: SparkSession, folder: str) -> DataFrame:
+    """Sketches of durations per file and day, stored and merged per file; their median has a rank within the bound."""
+    records = _records(spark, folder).select("source", "ts", "took")
+    stored = durable(sketches.duration_sketches(records), "sketches")
+    merged = sketches.merged_sketches(stored, ["source"]).withColumn("middle", sketches.quantile(0.5)).drop("sketch")
+    runs = records.where(F.col("took").isNotNull()).join(merged, "source")
+    below, upto = F.count_if(F.col("took") < F.col("middle")), F.count_if(F.col("took") <= F.col("middle"))
+    slack = F.greatest(F.lit(1.0), sketches.RANK_ERROR * F.col("n_runs"))
+    checked = runs.groupBy("source").agg(F.max("n").alias("n_runs"), F.max("smallest").alias("min_took"), F.max("largest").alias("max_took"), below.alias("low"), upto.alias("high"))
+    fits = (F.col("low") <= F.col("n_runs") / 2 + slack) & (F.col("high") >= F.col("n_runs") / 2 - slack)
+    return checked.select("source", "n_runs", "min_took", "max_took", fits.alias("median_in_bounds"))

@@ -8,6 +8,7 @@ from monthmill.functions import dates
 from monthmill.operators import features, lookups, monthstore, routing, shares
 from monthmill.plans.registry import query
 from monthmill.session import scratch_path
+from monthmill.sinks import buckets
 from monthmill.plans.stand_ins import (
     MARKET_SQL,
     REFERENCE_MONTH,
@@ -242,8 +243,7 @@ def churn_training_set(spark: SparkSession, folder: str) -> DataFrame:
     return features.churn_labels(orders, known, "o_custkey", "o_orderdate", month)
 
 
-@query(
-    """
+_NEXT_LABEL_SQL = """
     WITH f AS (
         SELECT o_custkey, date_trunc('month', o_orderdate)::DATE AS m, count(*) AS brq_count,
             count(DISTINCT o_orderdate::DATE) AS num_days FROM orders GROUP BY 1, 2),
@@ -253,7 +253,9 @@ def churn_training_set(spark: SparkSession, folder: str) -> DataFrame:
     SELECT f.o_custkey, strftime(f.m, '%Y%m') AS month, brq_count, num_days, label
     FROM f JOIN l ON l.o_custkey = f.o_custkey AND l.m = (f.m + INTERVAL 1 MONTH)::DATE
     """
-)
+
+
+@query(_NEXT_LABEL_SQL)
 def feature_label(spark: SparkSession, folder: str) -> DataFrame:
     """Features of each month beside the label of the next."""
     orders = parquet_table(spark, folder, "orders")
@@ -263,6 +265,19 @@ def feature_label(spark: SparkSession, folder: str) -> DataFrame:
     return known.join(labels, ["o_custkey", "month"]).withColumn("month", dates.month_id(F.col("month")))
 
 
+@query(_NEXT_LABEL_SQL)
+def bucketed_feature_label(spark: SparkSession, folder: str) -> DataFrame:
+    """The same from two tables stored in buckets by user and month, joined without a shuffle."""
+    orders = parquet_table(spark, folder, "orders")
+    known = features.monthly_activity(orders, "o_custkey", "o_orderdate")
+    high = F.when(F.max("o_totalprice") >= 300000, 1).otherwise(0)
+    labels = features.next_month_labels(orders, "o_custkey", "o_orderdate", label=high)
+    for name, rows in (("activity", known), ("labels", labels)):
+        buckets.write_buckets(rows, "monthmill", name, scratch_path(spark, name), ["o_custkey", "month"], 8)
+    joined = spark.table("monthmill.activity").join(spark.table("monthmill.labels"), ["o_custkey", "month"])
+    return joined.withColumn("month", dates.month_id(F.col("month")))
+
+
 @query(
     """
     SELECT l_orderkey, l_linenumber, l_partkey, l_quantity FROM lineitem
