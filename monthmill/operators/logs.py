@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, functions as F
 
 from monthmill.operators.ordered import HOT_ROWS, with_previous
+from monthmill.session import durable
 
 # The layout of a log record and of the messages measured.
 HEADER = r"^\[([^\]]+)\] \{([^:}]+):(\d+)\} ([A-Z]+) - "
@@ -138,7 +139,8 @@ def run_spans(records: DataFrame, file: str = "source", hot_rows: int = HOT_ROWS
     """
     marked = records.withColumn("pid", process_id(F.col("message"))).where(F.col("pid").isNotNull() | F.col("took").isNotNull())
     rows = marked.select(file, "ts", F.col("pid").isNull().alias("ends"), F.coalesce("pid", F.lit(-1)).alias("pid"), F.coalesce("took", F.lit(-1.0)).alias("took"))
-    rows = rows.withColumn("here", F.struct("ts", "ends", "pid", "took"))
+    # Stored, so that the records are parsed once for the three passes that follow.
+    rows = durable(rows, "run-marks").withColumn("here", F.struct("ts", "ends", "pid", "took"))
     order = ["ts", "ends", "pid", "took"]
     placed = with_previous(rows, [file], order, "here", "before", hot_rows)
     started = ~F.col("before.ends")
