@@ -8,6 +8,7 @@ from __future__ import annotations
 
 from functools import reduce
 from multiprocessing.pool import ThreadPool
+from typing import NamedTuple
 
 from pyspark import inheritable_thread_target
 from pyspark.ml import Pipeline, PipelineModel
@@ -15,10 +16,15 @@ from pyspark.ml.base import Estimator
 from pyspark.ml.classification import GBTClassifier, LogisticRegression, OneVsRest
 from pyspark.ml.feature import PCA, OneHotEncoder, StandardScaler, StringIndexer, VectorAssembler
 from pyspark.ml.functions import vector_to_array
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
 
+from monthmill.operators import prep
+from monthmill.operators.features import keep_single_carrier
+from monthmill.operators.lookups import with_predictions
 from monthmill.operators.routing import FIRST_VARIANT_MARKETS, SECOND_VARIANT_MARKETS
-from monthmill.sinks.files import model_path
+from monthmill.session import durable
+from monthmill.sinks.files import model_path, put
+from monthmill.sources.tables import record_lines
 
 # Parameters of the boosted variant.
 MAX_BIN = 50
@@ -80,6 +86,52 @@ def train(df: DataFrame, pipeline: Pipeline | Estimator) -> PipelineModel:
     return fitted.fit(df)
 
 
+class Switches(NamedTuple):
+    """What a training does with its rows and features before the fit."""
+
+    single_carrier: bool = False
+    upsampled: bool = False
+    balanced: bool = False
+    weight: float | None = None
+    scale: bool = False
+    components: int = 0
+
+
+def switched_rows(df: DataFrame, label: str, row_id: str, switches: Switches, user: str | None = None, carrier: str | None = None) -> DataFrame:
+    """The rows a fit sees: users of one carrier, then small classes repeated, then all cut to the smallest, then weights.
+
+    Rows without a label are left out first, so they are no class of their own.
+    ``user`` and ``carrier`` name the columns of the first switch.
+    """
+    rows = df.where(F.col(label).isNotNull())
+    if switches.single_carrier:
+        if user is None or carrier is None:
+            raise ValueError("a training on users of one carrier needs the columns of user and carrier")
+        rows = keep_single_carrier(rows, user, carrier)
+    return prep.training_rows(rows, label, row_id, switches.upsampled, switches.balanced, switches.weight)
+
+
+def train_switched(
+    df: DataFrame,
+    label: str,
+    row_id: str,
+    numbers: list[str],
+    categories: list[str],
+    switches: Switches,
+    estimator: Estimator,
+    user: str | None = None,
+    carrier: str | None = None,
+) -> PipelineModel:
+    """Fit on the rows and features that the switches ask for.
+
+    The rows are stored once, since the fit reads them in every iteration. The
+    estimator must take weights if a weight is wanted.
+    """
+    rows = durable(switched_rows(df, label, row_id, switches, user, carrier), "training-rows")
+    weighted = estimator.copy() if switches.weight is None else estimator.copy().setWeightCol("weight")
+    return train(rows, assembled(numbers, weighted, categories, switches.scale, switches.components))
+
+
 def score(df: DataFrame, model: PipelineModel) -> DataFrame:
     """Predict (mode ``score``) and keep every input column.
 
@@ -98,6 +150,30 @@ def stored_model(base: str, market: str, model_type: str, month: str) -> Pipelin
     return PipelineModel.load(model_path(base, market, model_type, month))
 
 
+def latest_model(spark: SparkSession, base: str, market: str, model_type: str, before: str) -> PipelineModel:
+    """The newest stored model of a month before the given one; a run without any stops."""
+    folder = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(model_path(base, market, model_type, "[0-9]" * 6))
+    found = folder.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).globStatus(folder) or []
+    months = sorted(name for name in (f.getPath().getName() for f in found) if name < before)
+    if not months:
+        raise FileNotFoundError(f"no {model_type} model of {market} before {before} below {base}")
+    return stored_model(base, market, model_type, months[-1])
+
+
+def score_lines(
+    spark: SparkSession, lines: str, schema: T.StructType | str, model: PipelineModel, key: str, root: str, name: str
+) -> DataFrame:
+    """Score records that come as lines of text, store the predictions under root and name, and return every input beside its own.
+
+    The predictions are read back from their files, so what is returned is
+    what a later job finds there. ``key`` must be unique; a malformed line stops the job.
+    """
+    inputs = record_lines(spark, lines, schema)
+    predictions = score(inputs, model).select(key, "prediction", "score")
+    path = put(predictions, root, name)
+    return with_predictions(inputs, spark.read.schema(predictions.schema).parquet(path), key)
+
+
 def _train_each(df: DataFrame, pipelines: dict[str, Pipeline], market: str) -> dict[str, PipelineModel]:
     """Fit several markets at a time; a fit of a small market leaves most of a cluster idle."""
     fit = inheritable_thread_target(df.sparkSession)(lambda name: train(df.where(F.col(market) == name), pipelines[name].copy()))
