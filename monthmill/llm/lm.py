@@ -1,4 +1,12 @@
-"""Language-model scores: cross-entropy difference between a target and a background model."""
+"""Language-model scores: cross-entropy difference between a target and a background model of words.
+
+Tokens are words: runs of ASCII letters, digits and characters beyond ASCII,
+A-Z lowered. Characters of scripts without blanks and ASCII marks are a token
+each. Every word of the corpus is in the vocabulary, which both models share;
+words go by 64-bit hashes. Counts stay in Spark: the driver and the executors
+hold only the losses of the commonest word pairs, ``HOT`` at most, so that
+these need not move; all other pairs are joined by key.
+"""
 
 from __future__ import annotations
 
@@ -7,144 +15,270 @@ from typing import NamedTuple
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark import TaskContext
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from monthmill.llm.tables import buffers, small_side, stored
 
-#: Symbols of the shared vocabulary: the commonest characters (as bytes, A-Z lowered), one for all others, one for a text's begin.
-SYMBOLS = 48
-ORDER = 4
 #: Weight of the next shorter model in each estimate, in counts.
-_PRIOR = 5.0
-_PIECE = 1 << 22
+PRIOR = 5.0
+#: Word pairs, at most, whose losses are sent to every executor (16 bytes each).
+HOT = 1 << 20
+#: Losses are summed as whole numbers of 1 / UNIT nats, so that no order of adding shows.
+UNIT = 1 << 20
+_PIECE = 1 << 20
+#: Word pairs that a task gathers before it sends their counts on.
+_GATHERED = 1 << 21
+_BEGIN = np.uint64(0x9E3779B97F4A7C15)
+
 _LOWERED = np.arange(256, dtype=np.uint8)
 _LOWERED[0x41:0x5B] += 32
+_BLANK, _MARK, _WORD, _SIGN, _REST = range(5)
+_KIND = np.full(256, _MARK, np.uint8)
+_KIND[:0x21] = _KIND[0x7F] = _BLANK
+_KIND[0x30:0x3A] = _KIND[0x41:0x5B] = _KIND[0x61:0x7B] = _KIND[0xC0:] = _WORD
+_KIND[0x80:0xC0] = _REST  # further bytes of a character
+_KIND[0xE3:0xEA] = _KIND[0xF0:] = _SIGN  # first bytes of kana, Han, and all beyond U+FFFF
+_BYTE_VALUES = np.random.default_rng(8).integers(1, 1 << 63, 256, dtype=np.uint64)
 
 
 class Models(NamedTuple):
-    """Losses in nats of every n-gram's last symbol under both models; ``symbols`` maps bytes to the shared vocabulary."""
+    """Stored counts of both models: per pair (prev, word), per context (prev) and per word; ``tokens`` in all, ``words`` in the vocabulary."""
+
+    pairs: DataFrame
+    contexts: DataFrame
+    words: DataFrame
+    tokens: tuple[int, int]
+    vocabulary: int
+
 
-    symbols: np.ndarray
-    target: np.ndarray
-    background: np.ndarray
+def _mixed(h: np.ndarray) -> np.ndarray:
+    h = (h ^ (h >> np.uint64(30))) * np.uint64(0xBF58476D1CE4E5B9)
+    h = (h ^ (h >> np.uint64(27))) * np.uint64(0x94D049BB133111EB)
+    return h ^ (h >> np.uint64(31))
 
 
-def _keys(data: np.ndarray, ends: np.ndarray, symbols: np.ndarray) -> np.ndarray:
-    """The n-gram that ends at each byte; before a text's begin stands the begin symbol."""
-    s = symbols[data].astype(np.int32)
-    key = s.copy()
-    place = np.arange(len(s)) - np.repeat(ends[:-1], np.diff(ends))
-    for back in range(1, ORDER):
-        earlier = np.full(len(s), SYMBOLS - 1, np.int32)
-        earlier[back:] = s[:-back] if back < len(s) else earlier[back:]
-        earlier[place < back] = SYMBOLS - 1
-        key += earlier * SYMBOLS**back
-    return key
+def _pair(prev: np.ndarray, word: np.ndarray) -> np.ndarray:
+    return _mixed(prev * np.uint64(0xD6E8FEB86659FD93) + word)
 
 
-def _pieces(data: np.ndarray, ends: np.ndarray) -> Iterator[tuple[int, int]]:
-    """Ranges of texts of about ``_PIECE`` bytes."""
+def words_of(data: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """The hash and the first byte's place of each token of some UTF-8."""
+    if not len(data):
+        return np.zeros(0, np.uint64), np.zeros(0, np.int64)
+    low = _LOWERED[data]
+    kind = _KIND[low]
+    # Further bytes are of the kind of their character.
+    lead = np.maximum.accumulate(np.where(kind != _REST, np.arange(len(kind)), 0))
+    own = kind[lead]
+    before = np.concatenate(([_BLANK], own[:-1]))
+    begins = (kind != _REST) & ((own == _MARK) | (own == _SIGN) | ((own == _WORD) & (before != _WORD)))
+    inside = np.flatnonzero(own != _BLANK)
+    starts = np.flatnonzero(begins[inside])
+    if not len(starts):
+        return np.zeros(0, np.uint64), np.zeros(0, np.int64)
+    lengths = np.diff(np.append(starts, len(inside)))
+    place = np.arange(len(inside)) - np.repeat(starts, lengths)
+    powers = np.cumprod(np.full(int(lengths.max()), 0x5851F42D4C957F2D, np.uint64))
+    return _mixed(np.add.reduceat(_BYTE_VALUES[low[inside]] * powers[place], starts)), inside[starts]
+
+
+def _pieces(data: np.ndarray, ends: np.ndarray) -> Iterator[tuple[int, np.ndarray, np.ndarray, bool]]:
+    """(first text, bytes, bounds of texts, whether the first goes on): whole texts of about ``_PIECE`` bytes; longer ones are cut between tokens."""
     first, n = 0, len(ends) - 1
     while first < n:
-        last = max(first + 1, int(np.searchsorted(ends, ends[first] + _PIECE, side="right")) - 1)
-        yield first, last
-        first = last
+        last = int(np.searchsorted(ends, ends[first] + _PIECE, side="right")) - 1
+        if last > first:
+            yield first, data[ends[first] : ends[last]], ends[first : last + 1] - ends[first], False
+            first = last
+            continue
+        at, stop, reach = int(ends[first]), int(ends[first + 1]), _PIECE
+        while at < stop:
+            cut = min(stop, at + reach)
+            if cut < stop:
+                apart = np.flatnonzero(np.isin(_KIND[data[at + 1 : cut]], (_BLANK, _MARK, _SIGN)))
+                if not len(apart):  # a word longer than this
+                    reach *= 2
+                    continue
+                cut = at + 1 + int(apart[-1])
+            yield first, data[at:cut], np.array([0, cut - at]), at > ends[first]
+            at, reach = cut, _PIECE
+        first += 1
 
 
-def _byte_counts(docs: DataFrame, text: str) -> np.ndarray:
-    def run(parts: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        counts = np.zeros(256, np.int64)
-        for part in parts:
-            counts += np.bincount(_LOWERED[buffers(part.column(0))[0]], minlength=256)
-        yield pa.RecordBatch.from_arrays([pa.array(np.arange(256, dtype=np.int32)), pa.array(counts)], names=["byte", "n"])
+def _apart(part: np.ndarray, bounds: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Texts with a blank after each, so that no word spans two of them, and where each begins."""
+    lengths = np.diff(bounds)
+    begins = bounds[:-1] + np.arange(len(lengths))
+    out = np.full(len(part) + len(lengths), 0x20, np.uint8)
+    keep = np.ones(len(out), bool)
+    keep[begins + lengths] = False
+    out[keep] = part
+    return out, begins
+
 
-    found = docs.select(text).mapInArrow(run, "byte int, n long").groupBy("byte").agg(F.sum("n").alias("n")).collect()
-    counts = np.zeros(256, np.int64)
-    for row in found:
-        counts[row.byte] = row.n
-    return counts
+def word_pairs(column: pa.Array) -> Iterator[tuple[np.ndarray, np.ndarray, np.ndarray]]:
+    """(text number, previous word, word) of all tokens of a column, piece by piece; before a text's first word stands ``_BEGIN``."""
+    data, ends = buffers(column)
+    held = _BEGIN
+    for first, part, bounds, goes_on in _pieces(data, ends):
+        spaced, begins = _apart(part, bounds)
+        word, at = words_of(spaced)
+        if not goes_on:
+            held = _BEGIN
+        if not len(word):
+            continue
+        text = np.searchsorted(begins, at, side="right") - 1
+        prev = np.concatenate((word[:1], word[:-1]))
+        prev[np.flatnonzero(np.diff(text, prepend=-1))] = _BEGIN
+        if goes_on:
+            prev[0] = held
+        held = word[-1]
+        yield first + text, prev, word
 
 
-def vocabulary(counts: np.ndarray) -> np.ndarray:
-    """Symbols of the bytes: 1.. for the commonest (ties by byte), 0 for all others."""
-    symbols = np.zeros(256, np.int64)
-    common = [b for b in np.lexsort((np.arange(256), -counts)) if counts[b]][: SYMBOLS - 2]
-    symbols[common] = np.arange(1, len(common) + 1)
-    return symbols[_LOWERED]
+def _counted(docs: DataFrame) -> DataFrame:
+    """(prev, word, target, background): counts of word pairs over whole texts; ``docs`` is (text, whether of the target)."""
 
+    def summed(gathered: list[tuple[np.ndarray, np.ndarray, np.ndarray]]) -> pa.RecordBatch:
+        prev, word, wanted = (np.concatenate(x) for x in zip(*gathered))
+        _, at, group = np.unique(_pair(prev, word), return_index=True, return_inverse=True)
+        target = np.bincount(group[wanted], minlength=len(at))
+        columns = [prev[at].view(np.int64), word[at].view(np.int64), target, np.bincount(group, minlength=len(at)) - target]
+        return pa.RecordBatch.from_arrays([pa.array(c, pa.int64()) for c in columns], names=["prev", "word", "target", "background"])
 
-def losses(counts: np.ndarray) -> np.ndarray:
-    """Loss of each n-gram's last symbol: every order leans on the next shorter one with a weight of ``_PRIOR`` counts."""
-    grams = counts.reshape([SYMBOLS] * ORDER)
-    p = np.full(SYMBOLS, 1 / SYMBOLS)
-    for order in range(1, ORDER + 1):
-        seen = grams.sum(axis=tuple(range(ORDER - order))).astype(np.float64)
-        p = (seen + _PRIOR * p) / (seen.sum(axis=-1, keepdims=True) + _PRIOR)
-    return -np.log(p).astype(np.float32).ravel()
+    def run(parts: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        gathered, n = [], 0
+        for part in parts:
+            wanted = part.column(1).to_numpy(zero_copy_only=False).astype(bool)
+            for text, prev, word in word_pairs(part.column(0)):
+                gathered.append((prev, word, wanted[text]))
+                n += len(word)
+                if n >= _GATHERED:
+                    yield summed(gathered)
+                    gathered, n = [], 0
+        if gathered:
+            yield summed(gathered)
+
+    counts = docs.mapInArrow(run, "prev long, word long, target long, background long")
+    return counts.groupBy("prev", "word").agg(F.sum("target").alias("target"), F.sum("background").alias("background"))
 
 
 def fit(docs: DataFrame, targets: DataFrame, *, key: str = "doc_id", text: str = "text") -> Models:
-    """Models from all documents (background) and from those whose key is in ``targets`` (target).
+    """Models from the documents whose key is in ``targets`` and, as background, from all others.
 
-    Both count n-grams of one vocabulary over whole texts. Each task sends its
-    counts, which are summed in Spark; the driver sees one row per n-gram, at
-    most ``SYMBOLS ** ORDER``. Null keys are in no target.
+    Both count word pairs over all their whole texts, so the models grow with
+    the corpus. They are matched by weight: counts of the larger side are
+    scaled down to the size of the smaller one, and no text is left out. Null
+    keys are in no target; rows that repeat count as often as they stand there.
+    Without documents, or without a target, a model knows no more than the
+    vocabulary.
     """
-    symbols = vocabulary(_byte_counts(docs, text))
     wanted = stored(targets.select(F.col(key).alias("_key")).filter("_key is not null").distinct(), "targets")
     flagged = docs.select(key, text).join(small_side(wanted, 16), F.col(key) == F.col("_key"), "left").select(text, F.col("_key").isNotNull().alias("wanted"))
+    pairs = stored(_counted(flagged), "word-pairs")
+    sums = [F.sum(side).alias(f"{side}_total") for side in ("target", "background")]
+    contexts = stored(pairs.groupBy("prev").agg(*sums), "contexts")
+    words = stored(pairs.groupBy("word").agg(F.sum("target").alias("target_word"), F.sum("background").alias("background_word")), "words")
+    total = words.agg(F.sum("target_word"), F.sum("background_word"), F.count("*")).first()
+    return Models(pairs, contexts, words, (total[0] or 0, total[1] or 0), total[2])
 
-    def run(parts: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        size = SYMBOLS**ORDER
-        counts = np.zeros((2, size), np.int64)
-        for part in parts:
-            data, ends = buffers(part.column(0))
-            of = part.column(1).to_numpy(zero_copy_only=False).astype(bool)
-            for first, last in _pieces(data, ends):
-                bounds = ends[first : last + 1] - ends[first]
-                keys = _keys(data[ends[first] : ends[last]], bounds, symbols)
-                mine = np.repeat(of[first:last], np.diff(bounds))
-                counts[1] += np.bincount(keys[mine], minlength=size)
-                counts[0] += np.bincount(keys[~mine], minlength=size)
-        seen = np.flatnonzero(counts.any(axis=0))
-        yield pa.RecordBatch.from_arrays([pa.array(seen.astype(np.int32)), pa.array(counts.sum(axis=0)[seen]), pa.array(counts[1][seen])], names=["gram", "background", "target"])
-
-    sums = flagged.mapInArrow(run, "gram int, background long, target long").groupBy("gram").agg(F.sum("background").alias("background"), F.sum("target").alias("target")).toArrow()
-    tables = []
-    for name in ("target", "background"):
-        counts = np.zeros(SYMBOLS**ORDER, np.int64)
-        counts[sums.column("gram").to_numpy()] = sums.column(name).to_numpy()
-        tables.append(losses(counts))
-    return Models(symbols, *tables)
-
-
-def score(docs: DataFrame, models: Models, *, key: str = "doc_id", text: str = "text") -> DataFrame:
+
+def losses(pairs: DataFrame, models: Models) -> DataFrame:
+    """(pair, n, target, background): the loss of each pair's word under both models, in whole 1 / ``UNIT`` nats.
+
+    ``pairs`` has the counts of both models, 0 for pairs they have not seen.
+    A pair leans on its word, and a word on the even chance of all words and
+    an unknown one, with a weight of ``PRIOR`` counts.
+    """
+    matched = float(min(models.tokens))
+    joined = pairs.join(small_side(models.contexts, 48), "prev", "left").join(small_side(models.words, 48), "word", "left")
+
+    def loss(side: str, total: int) -> Column:
+        scale = matched / total if matched else 1.0
+        size = matched or float(total)
+        word = (F.coalesce(f"{side}_word", F.lit(0)) * scale + PRIOR / (models.vocabulary + 1)) / (size + PRIOR)
+        pair = (F.col(side) * scale + PRIOR * word) / (F.coalesce(f"{side}_total", F.lit(0)) * scale + PRIOR)
+        return F.round(-F.log(pair) * UNIT).cast("int").alias(f"{side}_loss")
+
+    named = joined.mapInArrow(_name_pairs, T.StructType([*joined.schema, T.StructField("pair", T.LongType())]))
+    n = F.col("target") + F.col("background")
+    return named.select("pair", n.alias("n"), loss("target", models.tokens[0]), loss("background", models.tokens[1]))
+
+
+def _name_pairs(parts: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    for part in parts:
+        prev, word = (part.column(part.schema.get_field_index(c)).to_numpy().view(np.uint64) for c in ("prev", "word"))
+        yield part.append_column("pair", pa.array(_pair(prev, word).view(np.int64)))
+
+
+def _common(table: DataFrame) -> tuple[DataFrame, int]:
+    """The pairs with at least 2^k occurrences, k as small as ``HOT`` allows; and k."""
+    by_size = {r.k: r.rows for r in table.groupBy(F.floor(F.log2("n")).cast("int").alias("k")).agg(F.count("*").alias("rows")).collect()}  # one row per power of two
+    least, room = 62, HOT
+    for k in sorted(by_size, reverse=True):
+        room -= by_size[k]
+        if room < 0:
+            break
+        least = k
+    return table.filter(F.col("n") >= (1 << least)), least
+
+
+def score(docs: DataFrame, models: Models, *, key: str = "doc_id", text: str = "text", fitted: bool = False) -> DataFrame:
     """(key, n_tokens, target_loss, background_loss, score) for every row; a low score is close to the target.
 
     The score is the mean over a text's tokens of target loss less background
-    loss. Null and empty texts have no tokens, null losses and score 0. Repeated
-    rows give repeated rows.
+    loss. Null and empty texts, and texts of blanks alone, have no tokens, null
+    losses and score 0. Repeated rows give repeated rows. ``fitted`` tells that
+    the models were made from these very documents, which saves counting their
+    pairs again; a pair that is then unknown stops the job.
     """
-    sent = docs.sparkSession.sparkContext.broadcast(models)
+    spark = docs.sparkSession
+    if fitted:
+        pairs = models.pairs
+    else:
+        own = _counted(docs.select(text, F.lit(False).alias("wanted"))).select("prev", "word")
+        pairs = own.join(models.pairs, ["prev", "word"], "left").fillna(0, ["target", "background"])
+        # Unseen pairs count once: sizes only decide which losses are sent round.
+    table = stored(losses(pairs, models).withColumn("n", F.greatest("n", F.lit(1))), "losses")
+    common, least = _common(table)
+    hot = common.select("pair", "target_loss", "background_loss").toArrow()
+    order = np.argsort(hot.column("pair").to_numpy())
+    sent = spark.sparkContext.broadcast(tuple(hot.column(c).to_numpy()[order] for c in ("pair", "target_loss", "background_loss")))
 
     def run(parts: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        m = sent.value
+        known, *tables = sent.value
+        row = TaskContext.get().partitionId() << 33
         for part in parts:
-            data, ends = buffers(part.column(1))
-            n = np.diff(ends)
-            sums = np.zeros((2, len(n)))
-            for first, last in _pieces(data, ends):
-                bounds = ends[first : last + 1] - ends[first]
-                keys = _keys(data[ends[first] : ends[last]], bounds, m.symbols)
-                full = np.flatnonzero(np.diff(bounds))
-                for k, table in enumerate((m.target, m.background)):
-                    if len(full):
-                        sums[k, first + full] = np.add.reduceat(table[keys].astype(np.float64), bounds[:-1][full])
-            mean = sums / np.maximum(n, 1)
-            empty = n == 0
-            columns = [part.column(0), pa.array(n), *(pa.array(x, mask=empty) for x in mean), pa.array(mean[0] - mean[1])]
-            yield pa.RecordBatch.from_arrays(columns, names=[key, "n_tokens", "target_loss", "background_loss", "score"])
-
-    schema = docs.select(key).schema.add("n_tokens", "long").add("target_loss", "double").add("background_loss", "double").add("score", "double")
-    return docs.select(key, text).mapInArrow(run, schema)
+            keys, n = part.column(0), part.num_rows
+            yield batch(np.arange(row, row + n), keys, np.zeros((3, n), np.int64), np.zeros(n + 1, np.int32), np.zeros(0, np.int64))
+            for owner, prev, word in word_pairs(part.column(1)):
+                first, texts = owner[0], owner[-1] - owner[0] + 1
+                pair = _pair(prev, word).view(np.int64)
+                at = np.minimum(np.searchsorted(known, pair), max(0, len(known) - 1))
+                held = known[at] == pair if len(known) else np.zeros(len(pair), bool)
+                sums = np.zeros((3, texts), np.int64)
+                sums[0] = np.bincount(owner - first, minlength=texts)
+                for k, table in enumerate(tables):
+                    np.add.at(sums[k + 1], owner[held] - first, table[at[held]].astype(np.int64))
+                ends = np.concatenate(([0], np.cumsum(np.bincount(owner[~held] - first, minlength=texts)))).astype(np.int32)
+                yield batch(np.arange(row + first, row + first + texts), pa.nulls(texts, keys.type), sums, ends, pair[~held])
+            row += n
+
+    def batch(rows: np.ndarray, keys: pa.Array, sums: np.ndarray, ends: np.ndarray, pairs: np.ndarray) -> pa.RecordBatch:
+        rest = pa.ListArray.from_arrays(pa.array(ends), pa.array(pairs, pa.int64()))
+        return pa.RecordBatch.from_arrays([pa.array(rows, pa.int64()), keys, *(pa.array(s) for s in sums), rest], names=["_row", key, "_n", "_target", "_background", "_rest"])
+
+    longs = [T.StructField(c, T.LongType()) for c in ("_row", "_n", "_target", "_background")]
+    schema = T.StructType([longs[0], docs.schema[key], *longs[1:], T.StructField("_rest", T.ArrayType(T.LongType()))])
+    parts = stored(docs.select(key, text).mapInArrow(run, schema), "document-pairs")
+    rest = parts.filter(F.size("_rest") > 0).select("_row", F.explode("_rest").alias("pair"))
+    found = rest.join(table.filter(F.col("n") < (1 << least)), "pair", "left")
+    checked = [F.coalesce(F.col(f"{side}_loss"), F.raise_error(F.lit("a pair that the models do not hold"))).cast("long").alias(f"_{side}") for side in ("target", "background")]
+    moved = found.select("_row", F.lit(None).cast(parts.schema[key].dataType).alias(key), F.lit(0).cast("long").alias("_n"), *checked)
+    sums = [F.sum(c).alias(c) for c in ("_n", "_target", "_background")]
+    whole = parts.drop("_rest").unionByName(moved).groupBy("_row").agg(F.first(key, ignorenulls=True).alias(key), *sums)
+    target, background = (F.col(c) / UNIT / F.nullif("_n", F.lit(0)) for c in ("_target", "_background"))
+    return whole.select(key, F.col("_n").alias("n_tokens"), target.alias("target_loss"), background.alias("background_loss"), F.coalesce(target - background, F.lit(0.0)).alias("score"))

@@ -163,7 +163,7 @@ def op7_html_extraction(spark: SparkSession, folder: str) -> DataFrame:
 def op8_lm_scoring(spark: SparkSession, folder: str) -> DataFrame:
     """Difference of a target and a background model's loss per token, for every document."""
     docs = table(spark, folder, "documents")
-    return lm.score(docs, lm.fit(docs, table(spark, folder, "labels").filter("quality = 1")))
+    return lm.score(docs, lm.fit(docs, table(spark, folder, "labels").filter("quality = 1")), fitted=True)
 
 
 @query()

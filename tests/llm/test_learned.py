@@ -2,7 +2,9 @@
 
 import itertools
 import math
+import re
 import zlib
+from collections import Counter
 
 import numpy as np
 import pyarrow as pa
@@ -88,45 +90,86 @@ def test_language_of_odd_rows(spark, monkeypatch):
     assert {r.lang_pred for r in langid.identify(docs, langid.fit(docs.limit(0))).collect()} == {"und"}
 
 
-def slow_losses(texts, symbols):
-    """Counts and losses of every n-gram by dictionaries."""
-    from collections import Counter
+def slow_words(text):
+    """Words by a pattern: marks and signs of scripts without blanks by themselves, all else in runs."""
+    sign = "[\u3000-\u9fff\U00010000-\U0010ffff]"
+    lowered = "".join(c.lower() if "A" <= c <= "Z" else c for c in text or "")
+    return re.findall(sign + r"|[!-/:-@\[-`{-~]|(?:(?!" + sign + r")[0-9A-Za-z\x80-\U0010ffff])+", lowered)
 
-    grams = [Counter() for _ in range(lm.ORDER + 1)]
-    for text in texts:
-        s = [lm.SYMBOLS - 1] * (lm.ORDER - 1) + [int(symbols[b]) for b in (text or "").encode()]
-        for i in range(lm.ORDER - 1, len(s)):
-            for n in range(1, lm.ORDER + 1):
-                grams[n][tuple(s[i - n + 1 : i + 1])] += 1
 
-    def p(gram):
-        if not gram:
-            return 1 / lm.SYMBOLS
-        context = sum(grams[len(gram)][(*gram[:-1], x)] for x in range(lm.SYMBOLS))
-        return (grams[len(gram)][gram] + 5 * p(gram[1:])) / (context + 5)
+def slow_losses(target, background):
+    """The losses of a text under both models, counted with dictionaries."""
+    sides = [[w for t in side for w in [None, *slow_words(t)]] for side in (target, background)]
+    pairs = [Counter((a, b) for a, b in itertools.pairwise([*s, None]) if b is not None) for s in sides]
+    totals = [sum(p.values()) for p in pairs]
+    vocabulary = len({b for p in pairs for _, b in p})
 
-    return lambda text: [-math.log(p(tuple(s[i - lm.ORDER + 1 : i + 1]))) for s in [[lm.SYMBOLS - 1] * (lm.ORDER - 1) + [int(symbols[b]) for b in (text or "").encode()]] for i in range(lm.ORDER - 1, len(s))]
+    def losses(text, side):
+        scale = min(totals) / totals[side] if min(totals) else 1
+        size = min(totals) or totals[side]
+        found = []
+        for a, b in itertools.pairwise([None, *slow_words(text)]):
+            context = sum(n for (x, _), n in pairs[side].items() if x == a)
+            word = sum(n for (_, y), n in pairs[side].items() if y == b)
+            p = (word * scale + 5 / (vocabulary + 1)) / (size + 5)
+            found.append(-math.log((pairs[side][a, b] * scale + 5 * p) / (context * scale + 5)))
+        return found
 
+    return losses
 
-def test_cross_entropy_difference(spark):
-    rows = [(1, "abcABC abc", 0), (2, "xyz xyz é", 0), (3, None, 0), (4, "", 0), (None, "abc", 0), (5, "abab" * 300, 0), (2, "xyz xyz é", 0)]
-    docs = spark.createDataFrame(rows, "doc_id long, text string, n_tokens int")
-    targets = spark.createDataFrame([(1,), (5,), (1,), (None,), (77,)], "doc_id long")
+
+ODD_TEXTS = ["abc ABC, abc!", "xyz xyz é Ünï", None, "", "  \n ", "中文字 と かな mixed中x", "ab " * 300 + "ab.cd", "😀😀 don't", "w" * 500 + " x", "xyz xyz é Ünï", "Привет мир Привет"]
+
+
+def test_words():
+    for text in ODD_TEXTS:
+        hashes, places = lm.words_of(np.frombuffer((text or "").encode(), np.uint8))
+        words = slow_words(text)
+        assert len(hashes) == len(words)
+        assert [(text or "").encode()[at:][:1].lower() for at in places] == [w.encode()[:1] for w in words]
+        assert len(set(hashes.tolist())) == len(set(words))
+
+
+@pytest.mark.parametrize("piece", [1, 7, 64, 1 << 20])
+def test_pieces_do_not_show(monkeypatch, piece):
+    whole = [np.concatenate(x) for x in zip(*lm.word_pairs(pa.array(ODD_TEXTS)))]
+    monkeypatch.setattr(lm, "_PIECE", piece)
+    cut = [np.concatenate(x) for x in zip(*lm.word_pairs(pa.array(ODD_TEXTS)))]
+    assert all((a == b).all() for a, b in zip(whole, cut))
+    assert np.bincount(whole[0], minlength=len(ODD_TEXTS)).tolist() == [len(slow_words(t)) for t in ODD_TEXTS]
+
+
+@pytest.mark.parametrize("hot", [1 << 20, 3, 0])
+def test_cross_entropy_difference(spark, monkeypatch, hot):
+    monkeypatch.setattr(lm, "HOT", hot)
+    rows = [(None if k == 8 else 1 if k == 1 else k, t, 0) for k, t in enumerate(ODD_TEXTS)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, n_tokens int").repartition(3)
+    targets = spark.createDataFrame([(0,), (5,), (6,), (6,), (None,), (77,)], "doc_id long")
     models = lm.fit(docs, targets)
-    target, background = slow_losses([rows[0][1], rows[5][1]], models.symbols), slow_losses([t for _, t, _ in rows], models.symbols)
-    found = lm.score(docs, models).collect()
-    assert len(found) == len(rows)
-    for r in found:
-        text = next(t for k, t, _ in rows if k == r.doc_id)
-        assert r.n_tokens == len((text or "").encode())
-        if r.n_tokens:
-            assert r.target_loss == pytest.approx(np.mean(target(text)), rel=1e-4) and r.background_loss == pytest.approx(np.mean(background(text)), rel=1e-4)
-            assert r.score == pytest.approx(r.target_loss - r.background_loss)
-        else:
-            assert (r.target_loss, r.background_loss, r.score) == (None, None, 0.0)
+    inside = [t for k, t, _ in rows if k in (0, 5, 6)]
+    slow = slow_losses(inside, [t for k, t, _ in rows if k not in (0, 5, 6)])
+    more = [(*r, "x") for r in rows] + [(90, "unseen words, abc", 1, "x"), (90, "unseen words, abc", 1, "x")]
+    other = spark.createDataFrame(more, "doc_id long, text string, score int, _row string")
+    for found, texts in ((lm.score(docs, models, fitted=True).collect(), rows), (lm.score(other, models).collect(), more)):
+        assert sorted((r.doc_id or -1, r.n_tokens) for r in found) == sorted((r[0] or -1, len(slow_words(r[1]))) for r in texts)
+        for r in found:
+            text = next(x[1] for x in texts if x[0] == r.doc_id)
+            if r.n_tokens:
+                assert r.target_loss == pytest.approx(np.mean(slow(text, 0)), rel=1e-5) and r.background_loss == pytest.approx(np.mean(slow(text, 1)), rel=1e-5)
+                assert r.score == pytest.approx(r.target_loss - r.background_loss)
+            else:
+                assert (r.target_loss, r.background_loss, r.score) == (None, None, 0.0)
     assert lm.score(docs.limit(0), models).collect() == []
 
 
+def test_scores_of_empty_models(spark):
+    docs = spark.createDataFrame([(1, "some words"), (2, None)], "doc_id long, text string")
+    models = lm.fit(docs.limit(0), docs.select("doc_id").limit(0))
+    assert {(r.doc_id, r.score) for r in lm.score(docs, models).collect()} == {(1, 0.0), (2, 0.0)}
+    with pytest.raises(Exception, match="do not hold"):
+        lm.score(docs, models, fitted=True).collect()
+
+
 def test_scores_tell_targets_apart(spark):
     found = {r.doc_id: r for r in op8_lm_scoring(spark, TABLES).collect()}
     labels = {r.doc_id: r.quality for r in spark.read.parquet(f"{TABLES}/labels.parquet").collect()}
