@@ -2,10 +2,12 @@
 
 Tokens are words: runs of ASCII letters, digits and characters beyond ASCII,
 A-Z lowered. Characters of scripts without blanks and ASCII marks are a token
-each. Every word of the corpus is in the vocabulary, which both models share;
-words go by 64-bit hashes. Counts stay in Spark: the driver and the executors
-hold only the losses of the commonest word pairs, ``HOT`` at most, so that
-these need not move; all other pairs are joined by key.
+each. The models count every word and every pair of words of the corpus, by
+64-bit hashes. Pairs that occur once in the whole corpus are known by their
+number only, as is usual; all others are in the models, which grow with the
+corpus and stay in Spark. Executors hold the commonest words and pairs and a
+filter of the remaining pairs, all three of a fixed size; tokens whose pair the
+filter may hold are joined with the counts.
 """
 
 from __future__ import annotations
@@ -24,10 +26,15 @@ from monthmill.llm.tables import buffers, small_side, stored
 
 #: Weight of the next shorter model in each estimate, in counts.
 PRIOR = 5.0
-#: Word pairs, at most, whose losses are sent to every executor (16 bytes each).
-HOT = 1 << 20
+#: Words and word pairs, at most, whose counts are sent to every executor (24 bytes each).
+WORDS = 1 << 20
+PAIRS = 1 << 20
+#: Bits of the filter of all other pairs. It never loses a pair; a full one only makes more tokens move.
+FILTER_BITS = 1 << 27
 #: Losses are summed as whole numbers of 1 / UNIT nats, so that no order of adding shows.
 UNIT = 1 << 20
+#: The part of an estimate that comes from the word alone is rounded to so many nats, which lets it travel in four bytes.
+STEP = 1 / 512
 _PIECE = 1 << 20
 #: Word pairs that a task gathers before it sends their counts on.
 _GATHERED = 1 << 21
@@ -44,15 +51,43 @@ _KIND[0xE3:0xEA] = _KIND[0xF0:] = _SIGN  # first bytes of kana, Han, and all bey
 _BYTE_VALUES = np.random.default_rng(8).integers(1, 1 << 63, 256, dtype=np.uint64)
 
 
+class Known(NamedTuple):
+    """Counts under both models by sorted key."""
+
+    keys: np.ndarray
+    counts: np.ndarray
+
+    def find(self, keys: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """The counts of each key, and whether it is here at all; 0 where it is not."""
+        if not len(self.keys):
+            return np.zeros((2, len(keys))), np.zeros(len(keys), bool)
+        at = np.minimum(np.searchsorted(self.keys, keys), len(self.keys) - 1)
+        here = self.keys[at] == keys
+        return np.where(here, self.counts[:, at], 0.0), here
+
+
 class Models(NamedTuple):
-    """Stored counts of both models: per pair (prev, word), per context (prev) and per word; ``tokens`` in all, ``words`` in the vocabulary."""
+    """The commonest words and pairs, a filter of the other pairs and, in Spark, their counts.
 
-    pairs: DataFrame
-    contexts: DataFrame
-    words: DataFrame
-    tokens: tuple[int, int]
+    ``mean`` is the mean count of a word that is not among the commonest,
+    ``tokens`` each side's number of tokens, ``once`` the share of them whose
+    pair occurs once in the corpus, ``vocabulary`` the number of words.
+    """
+
+    words: Known
+    pairs: Known
+    filter: np.ndarray
+    others: DataFrame
+    mean: np.ndarray
+    tokens: np.ndarray
+    once: np.ndarray
     vocabulary: int
 
+    @property
+    def scale(self) -> np.ndarray:
+        """What brings the larger side down to the size of the smaller one."""
+        return self.tokens.min() / np.maximum(self.tokens, 1) if self.tokens.min() else np.ones(2)
+
 
 def _mixed(h: np.ndarray) -> np.ndarray:
     h = (h ^ (h >> np.uint64(30))) * np.uint64(0xBF58476D1CE4E5B9)
@@ -60,8 +95,13 @@ def _mixed(h: np.ndarray) -> np.ndarray:
     return h ^ (h >> np.uint64(31))
 
 
-def _pair(prev: np.ndarray, word: np.ndarray) -> np.ndarray:
-    return _mixed(prev * np.uint64(0xD6E8FEB86659FD93) + word)
+# Keys of pairs are odd, those of words even, so that both are counted in one go.
+def _word_key(word: np.ndarray) -> np.ndarray:
+    return (word & ~np.uint64(1)).view(np.int64)
+
+
+def _pair_key(prev: np.ndarray, word: np.ndarray) -> np.ndarray:
+    return (_mixed(prev * np.uint64(0xD6E8FEB86659FD93) + word) | np.uint64(1)).view(np.int64)
 
 
 def words_of(data: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -140,14 +180,17 @@ def word_pairs(column: pa.Array) -> Iterator[tuple[np.ndarray, np.ndarray, np.nd
 
 
 def _counted(docs: DataFrame) -> DataFrame:
-    """(prev, word, target, background): counts of word pairs over whole texts; ``docs`` is (text, whether of the target)."""
+    """(key, target, background): counts of words, of texts (as the word ``_BEGIN``) and of pairs; ``docs`` is (text, whether of the target)."""
 
-    def summed(gathered: list[tuple[np.ndarray, np.ndarray, np.ndarray]]) -> pa.RecordBatch:
+    def summed(gathered: list[tuple[np.ndarray, np.ndarray, np.ndarray]]) -> Iterator[pa.RecordBatch]:
         prev, word, wanted = (np.concatenate(x) for x in zip(*gathered))
-        _, at, group = np.unique(_pair(prev, word), return_index=True, return_inverse=True)
-        target = np.bincount(group[wanted], minlength=len(at))
-        columns = [prev[at].view(np.int64), word[at].view(np.int64), target, np.bincount(group, minlength=len(at)) - target]
-        return pa.RecordBatch.from_arrays([pa.array(c, pa.int64()) for c in columns], names=["prev", "word", "target", "background"])
+        # Either side by itself: keys are then sorted, which is fast, and not their places.
+        for k, of in enumerate((wanted, ~wanted)):
+            first, own = prev[of], word[of]
+            for keys in (_pair_key(first, own), _word_key(np.append(own, first[first == _BEGIN]))):
+                once, n = np.unique(keys, return_counts=True)
+                counts = [n, np.zeros(len(n), np.int64)]
+                yield pa.RecordBatch.from_arrays([pa.array(c, pa.int64()) for c in (once, counts[k], counts[1 - k])], names=["key", "target", "background"])
 
     def run(parts: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         gathered, n = [], 0
@@ -157,128 +200,156 @@ def _counted(docs: DataFrame) -> DataFrame:
                 gathered.append((prev, word, wanted[text]))
                 n += len(word)
                 if n >= _GATHERED:
-                    yield summed(gathered)
+                    yield from summed(gathered)
                     gathered, n = [], 0
         if gathered:
-            yield summed(gathered)
+            yield from summed(gathered)
 
-    counts = docs.mapInArrow(run, "prev long, word long, target long, background long")
-    return counts.groupBy("prev", "word").agg(F.sum("target").alias("target"), F.sum("background").alias("background"))
-
-
-def fit(docs: DataFrame, targets: DataFrame, *, key: str = "doc_id", text: str = "text") -> Models:
-    """Models from the documents whose key is in ``targets`` and, as background, from all others.
-
-    Both count word pairs over all their whole texts, so the models grow with
-    the corpus. They are matched by weight: counts of the larger side are
-    scaled down to the size of the smaller one, and no text is left out. Null
-    keys are in no target; rows that repeat count as often as they stand there.
-    Without documents, or without a target, a model knows no more than the
-    vocabulary.
-    """
-    wanted = stored(targets.select(F.col(key).alias("_key")).filter("_key is not null").distinct(), "targets")
-    flagged = docs.select(key, text).join(small_side(wanted, 16), F.col(key) == F.col("_key"), "left").select(text, F.col("_key").isNotNull().alias("wanted"))
-    pairs = stored(_counted(flagged), "word-pairs")
-    sums = [F.sum(side).alias(f"{side}_total") for side in ("target", "background")]
-    contexts = stored(pairs.groupBy("prev").agg(*sums), "contexts")
-    words = stored(pairs.groupBy("word").agg(F.sum("target").alias("target_word"), F.sum("background").alias("background_word")), "words")
-    total = words.agg(F.sum("target_word"), F.sum("background_word"), F.count("*")).first()
-    return Models(pairs, contexts, words, (total[0] or 0, total[1] or 0), total[2])
+    counts = docs.mapInArrow(run, "key long, target long, background long")
+    return counts.groupBy("key").agg(F.sum("target").alias("target"), F.sum("background").alias("background"))
 
 
-def losses(pairs: DataFrame, models: Models) -> DataFrame:
-    """(pair, n, target, background): the loss of each pair's word under both models, in whole 1 / ``UNIT`` nats.
+def _least(rows_by_size: dict[int, int], room: int) -> int:
+    """The smallest 2^k so that no more than ``room`` keys occur as often."""
+    least = 62
+    for k in sorted(rows_by_size, reverse=True):
+        room -= rows_by_size[k]
+        if room < 0:
+            break
+        least = k
+    return 1 << least
 
-    ``pairs`` has the counts of both models, 0 for pairs they have not seen.
-    A pair leans on its word, and a word on the even chance of all words and
-    an unknown one, with a weight of ``PRIOR`` counts.
-    """
-    matched = float(min(models.tokens))
-    joined = pairs.join(small_side(models.contexts, 48), "prev", "left").join(small_side(models.words, 48), "word", "left")
 
-    def loss(side: str, total: int) -> Column:
-        scale = matched / total if matched else 1.0
-        size = matched or float(total)
-        word = (F.coalesce(f"{side}_word", F.lit(0)) * scale + PRIOR / (models.vocabulary + 1)) / (size + PRIOR)
-        pair = (F.col(side) * scale + PRIOR * word) / (F.coalesce(f"{side}_total", F.lit(0)) * scale + PRIOR)
-        return F.round(-F.log(pair) * UNIT).cast("int").alias(f"{side}_loss")
+def _known(rows: DataFrame) -> Known:
+    found = rows.select("key", "target", "background").toArrow()
+    order = np.argsort(found.column("key").to_numpy())
+    return Known(found.column("key").to_numpy()[order], np.stack([found.column(c).to_numpy()[order] for c in ("target", "background")]).astype(np.float64))
 
-    named = joined.mapInArrow(_name_pairs, T.StructType([*joined.schema, T.StructField("pair", T.LongType())]))
-    n = F.col("target") + F.col("background")
-    return named.select("pair", n.alias("n"), loss("target", models.tokens[0]), loss("background", models.tokens[1]))
 
+def _places(keys: np.ndarray, bits: int) -> list[np.ndarray]:
+    """The two bits of each key in a filter."""
+    h = keys.view(np.uint64)
+    return [((h >> np.uint64(shift)) & np.uint64(bits - 1)).astype(np.int64) for shift in (1, 33)]
 
-def _name_pairs(parts: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    for part in parts:
-        prev, word = (part.column(part.schema.get_field_index(c)).to_numpy().view(np.uint64) for c in ("prev", "word"))
-        yield part.append_column("pair", pa.array(_pair(prev, word).view(np.int64)))
 
+def _filter(pairs: DataFrame) -> np.ndarray:
+    """A bit per place of any pair, put together in Spark; the driver sees at most a row per 64 bits."""
+    spots = F.explode(F.array(*[F.shiftrightunsigned("key", shift).bitwiseAND(FILTER_BITS - 1) for shift in (1, 33)]))
+    spots = pairs.select(spots.alias("at")).select(F.shiftright("at", 6).alias("slot"), F.call_function("shiftleft", F.lit(1).cast("long"), F.col("at").bitwiseAND(63).cast("int")).alias("bits"))
+    found = spots.groupBy("slot").agg(F.bit_or("bits").alias("bits")).toArrow()
+    bits = np.zeros(FILTER_BITS >> 6, np.int64)
+    bits[found.column("slot").to_numpy()] = found.column("bits").to_numpy()
+    return bits
 
-def _common(table: DataFrame) -> tuple[DataFrame, int]:
-    """The pairs with at least 2^k occurrences, k as small as ``HOT`` allows; and k."""
-    by_size = {r.k: r.rows for r in table.groupBy(F.floor(F.log2("n")).cast("int").alias("k")).agg(F.count("*").alias("rows")).collect()}  # one row per power of two
-    least, room = 62, HOT
-    for k in sorted(by_size, reverse=True):
-        room -= by_size[k]
-        if room < 0:
-            break
-        least = k
-    return table.filter(F.col("n") >= (1 << least)), least
 
+def fit(docs: DataFrame, targets: DataFrame, *, key: str = "doc_id", text: str = "text") -> Models:
+    """Models from the documents whose key is in ``targets`` and, as background, from all others.
 
-def score(docs: DataFrame, models: Models, *, key: str = "doc_id", text: str = "text", fitted: bool = False) -> DataFrame:
+    Both count all their whole texts. They are matched by weight: counts of the
+    larger side are scaled down to the size of the smaller one, and no text is
+    left out. Null keys are in no target; rows that repeat count as often as
+    they stand there. Without documents, or without a target, a model knows no
+    more than the vocabulary. Beyond ``WORDS`` words, the rarer ones share
+    their mean count; counts of pairs are exact at any size.
+    """
+    wanted = stored(targets.select(F.col(key).alias("_key")).filter("_key is not null").distinct(), "targets")
+    flagged = docs.select(key, text).join(small_side(wanted, 16), F.col(key) == F.col("_key"), "left").select(text, F.col("_key").isNotNull().alias("wanted"))
+    n, pair = F.col("target") + F.col("background"), F.col("key").bitwiseAND(1) == 1
+    counts = stored(_counted(flagged).filter(~pair | (n > 1)), "word-counts")
+    begin = int(_word_key(np.array([_BEGIN]))[0])
+    sums = [F.sum("target").alias("target"), F.sum("background").alias("background"), F.count("*").alias("rows")]
+    sizes = counts.groupBy(pair.alias("pair"), (F.col("key") == begin).alias("begin"), F.floor(F.log2(n)).cast("int").alias("k")).agg(*sums).collect()  # a row per power of two
+    least = [_least({r.k: r.rows for r in sizes if r.pair == kind and not r.begin}, room) for kind, room in ((False, WORDS - 1), (True, PAIRS))]
+
+    def total(rows) -> np.ndarray:
+        return np.array([[r.target, r.background] for r in rows], np.float64).reshape(-1, 2).sum(axis=0)
+
+    words = [r for r in sizes if not r.pair and not r.begin]
+    rare = [r for r in words if 1 << r.k < least[0]]
+    tokens = total(words)
+    others = counts.filter(pair & (n < least[1]))
+    return Models(
+        _known(counts.filter(~pair & ((n >= least[0]) | (F.col("key") == begin)))),
+        _known(counts.filter(pair & (n >= least[1]))),
+        _filter(others),
+        others,
+        total(rare) / max(1, sum(r.rows for r in rare)),
+        tokens,
+        1 - total(r for r in sizes if r.pair) / np.maximum(tokens, 1),
+        sum(r.rows for r in words),
+    )
+
+
+def _estimates(models: Models, prev: np.ndarray, word: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """For both models: minus the log of what a token has by its word alone, in steps of ``STEP``, and the whole it is a share of.
+
+    A word leans on the even chance of all words and an unknown one, a pair on
+    its word with a weight of ``PRIOR`` counts and the share of the context's
+    tokens whose pair occurs once.
+    """
+    m, scale = models, models.scale[:, None]
+    size = m.tokens.min() or m.tokens[:, None]
+    begin = m.words.find(_word_key(np.array([_BEGIN])))[0]
+    # A context is the word before, so one search serves both.
+    found, here = m.words.find(_word_key(np.append(prev[:1], word)))
+    counts = np.where(here, found, m.mean[:, None])
+    context = np.where(prev == _BEGIN, begin, counts[:, :-1]) * scale
+    by_word = (counts[:, 1:] * scale + PRIOR / (m.vocabulary + 1)) / (size + PRIOR)
+    once = m.once[:, None] * context
+    return np.rint(-np.log((PRIOR + once) * by_word) / STEP), context + once + PRIOR
+
+
+def score(docs: DataFrame, models: Models, *, key: str = "doc_id", text: str = "text") -> DataFrame:
     """(key, n_tokens, target_loss, background_loss, score) for every row; a low score is close to the target.
 
     The score is the mean over a text's tokens of target loss less background
     loss. Null and empty texts, and texts of blanks alone, have no tokens, null
-    losses and score 0. Repeated rows give repeated rows. ``fitted`` tells that
-    the models were made from these very documents, which saves counting their
-    pairs again; a pair that is then unknown stops the job.
+    losses and score 0. Repeated rows give repeated rows. Words and pairs the
+    models have not seen have counts of 0. Rows are numbered by partition and
+    place, so ``docs`` should be a stored table.
     """
-    spark = docs.sparkSession
-    if fitted:
-        pairs = models.pairs
-    else:
-        own = _counted(docs.select(text, F.lit(False).alias("wanted"))).select("prev", "word")
-        pairs = own.join(models.pairs, ["prev", "word"], "left").fillna(0, ["target", "background"])
-        # Unseen pairs count once: sizes only decide which losses are sent round.
-    table = stored(losses(pairs, models).withColumn("n", F.greatest("n", F.lit(1))), "losses")
-    common, least = _common(table)
-    hot = common.select("pair", "target_loss", "background_loss").toArrow()
-    order = np.argsort(hot.column("pair").to_numpy())
-    sent = spark.sparkContext.broadcast(tuple(hot.column(c).to_numpy()[order] for c in ("pair", "target_loss", "background_loss")))
+    others = models.others
+    sent = docs.sparkSession.sparkContext.broadcast(models._replace(others=None))
 
     def run(parts: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        known, *tables = sent.value
+        m = sent.value
+        bits, some = 64 * len(m.filter), bool(m.filter.any())
         row = TaskContext.get().partitionId() << 33
         for part in parts:
-            keys, n = part.column(0), part.num_rows
-            yield batch(np.arange(row, row + n), keys, np.zeros((3, n), np.int64), np.zeros(n + 1, np.int32), np.zeros(0, np.int64))
+            n, sums = part.num_rows, np.zeros((3, part.num_rows), np.int64)
             for owner, prev, word in word_pairs(part.column(1)):
                 first, texts = owner[0], owner[-1] - owner[0] + 1
-                pair = _pair(prev, word).view(np.int64)
-                at = np.minimum(np.searchsorted(known, pair), max(0, len(known) - 1))
-                held = known[at] == pair if len(known) else np.zeros(len(pair), bool)
-                sums = np.zeros((3, texts), np.int64)
-                sums[0] = np.bincount(owner - first, minlength=texts)
-                for k, table in enumerate(tables):
-                    np.add.at(sums[k + 1], owner[held] - first, table[at[held]].astype(np.int64))
-                ends = np.concatenate(([0], np.cumsum(np.bincount(owner[~held] - first, minlength=texts)))).astype(np.int32)
-                yield batch(np.arange(row + first, row + first + texts), pa.nulls(texts, keys.type), sums, ends, pair[~held])
+                steps, whole = _estimates(m, prev, word)
+                pair = _pair_key(prev, word)
+                seen, here = m.pairs.find(pair)
+                loss = np.rint(-np.log((seen * m.scale[:, None] + np.exp(-STEP * steps)) / whole) * UNIT)
+                for k, weights in enumerate((None, *loss)):
+                    sums[k, first : first + texts] += np.bincount(owner - first, weights, texts).astype(np.int64)
+                rest = np.flatnonzero(~here) if some else []
+                if len(rest):
+                    held = [(m.filter[at >> 6] >> (at & 63) & 1).astype(bool) for at in _places(pair[rest], bits)]
+                    rest = rest[held[0] & held[1]]
+                    packed = (steps[:, rest] + 32768).astype(np.int64)
+                    yield batch(row + owner[rest], pa.nulls(len(rest), part.column(0).type), np.zeros((3, len(rest)), np.int64), pair[rest], packed[0] << 16 | packed[1])
+            rows = np.arange(row, row + n)
+            yield batch(rows, part.column(0), sums, rows << 1, np.zeros(n, np.int64))
             row += n
 
-    def batch(rows: np.ndarray, keys: pa.Array, sums: np.ndarray, ends: np.ndarray, pairs: np.ndarray) -> pa.RecordBatch:
-        rest = pa.ListArray.from_arrays(pa.array(ends), pa.array(pairs, pa.int64()))
-        return pa.RecordBatch.from_arrays([pa.array(rows, pa.int64()), keys, *(pa.array(s) for s in sums), rest], names=["_row", key, "_n", "_target", "_background", "_rest"])
-
-    longs = [T.StructField(c, T.LongType()) for c in ("_row", "_n", "_target", "_background")]
-    schema = T.StructType([longs[0], docs.schema[key], *longs[1:], T.StructField("_rest", T.ArrayType(T.LongType()))])
-    parts = stored(docs.select(key, text).mapInArrow(run, schema), "document-pairs")
-    rest = parts.filter(F.size("_rest") > 0).select("_row", F.explode("_rest").alias("pair"))
-    found = rest.join(table.filter(F.col("n") < (1 << least)), "pair", "left")
-    checked = [F.coalesce(F.col(f"{side}_loss"), F.raise_error(F.lit("a pair that the models do not hold"))).cast("long").alias(f"_{side}") for side in ("target", "background")]
-    moved = found.select("_row", F.lit(None).cast(parts.schema[key].dataType).alias(key), F.lit(0).cast("long").alias("_n"), *checked)
-    sums = [F.sum(c).alias(c) for c in ("_n", "_target", "_background")]
-    whole = parts.drop("_rest").unionByName(moved).groupBy("_row").agg(F.first(key, ignorenulls=True).alias(key), *sums)
+    def batch(rows, keys, sums, pairs, steps) -> pa.RecordBatch:
+        return pa.RecordBatch.from_arrays([keys, *(pa.array(x, pa.int64()) for x in (rows, *sums, pairs, steps))], names=schema.names)
+
+    longs = [T.StructField(c, T.LongType()) for c in ("_row", "_n", "_target", "_background", "_pair", "_steps")]
+    schema = T.StructType([T.StructField("_key", docs.schema[key].dataType), *longs])
+    # A row per text, with an even number that no pair has, and one for each token that has to be looked up.
+    found = docs.select(key, text).mapInArrow(run, schema).join(others, F.col("_pair") == F.col("key"), "left")
+    by_word = {"target": F.shiftright("_steps", 16), "background": F.col("_steps").bitwiseAND(65535)}
+
+    def gained(side: str, scale: float) -> Column:
+        """So much less loss than by its word alone has a token whose pair has counts."""
+        gain = F.log1p(F.col(side) * scale * F.exp((by_word[side] - 32768) * STEP))
+        return F.sum(F.col(f"_{side}") - F.coalesce(F.round(gain * UNIT).cast("long"), F.lit(0))).alias(f"_{side}")
+
+    sums = [F.sum("_n").alias("_n"), *(gained(side, float(scale)) for side, scale in zip(("target", "background"), models.scale))]
+    whole = found.groupBy("_row").agg(F.first("_key", ignorenulls=True).alias("_key"), *sums)
     target, background = (F.col(c) / UNIT / F.nullif("_n", F.lit(0)) for c in ("_target", "_background"))
-    return whole.select(key, F.col("_n").alias("n_tokens"), target.alias("target_loss"), background.alias("background_loss"), F.coalesce(target - background, F.lit(0.0)).alias("score"))
+    return whole.select(F.col("_key").alias(key), F.col("_n").alias("n_tokens"), target.alias("target_loss"), background.alias("background_loss"), F.coalesce(target - background, F.lit(0.0)).alias("score"))
