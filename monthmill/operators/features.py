@@ -77,9 +77,9 @@ def carrier_switches(
 
 
 def single_carrier_users(df: DataFrame, user: str, carrier: str) -> DataFrame:
-    """Users with exactly one distinct carrier; smallest equal to largest needs no distinct count."""
-    range_ = df.groupBy(user).agg(F.min(carrier).alias("low"), F.max(carrier).alias("high"))
-    return range_.where(F.col("low") == F.col("high")).select(user)
+    """Users with exactly one distinct carrier. Pairs are made distinct and counted by hash; smallest and largest of text would sort all rows."""
+    pairs = df.where(F.col(carrier).isNotNull()).select(user, carrier).distinct()
+    return pairs.groupBy(user).agg(F.count("*").alias("_carriers")).where("_carriers = 1").select(user)
 
 
 def keep_single_carrier(df: DataFrame, user: str, carrier: str, hot_rows: int = HOT_ROWS) -> DataFrame:

@@ -6,21 +6,24 @@ and the historical fallback, boosted trees for the second.
 
 from __future__ import annotations
 
+from collections.abc import Callable, Iterable
 from functools import reduce
 from multiprocessing.pool import ThreadPool
 from typing import NamedTuple
 
+import numpy as np
 from pyspark import inheritable_thread_target
-from pyspark.ml import Pipeline, PipelineModel
+from pyspark.ml import Pipeline, PipelineModel, Transformer
 from pyspark.ml.base import Estimator
 from pyspark.ml.classification import GBTClassifier, LogisticRegression, OneVsRest
 from pyspark.ml.feature import PCA, OneHotEncoder, StandardScaler, StringIndexer, VectorAssembler
-from pyspark.ml.functions import vector_to_array
+from pyspark.ml.functions import array_to_vector, vector_to_array
+from pyspark.ml.linalg import Vectors
 from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
 
 from monthmill.operators import prep
 from monthmill.operators.features import keep_single_carrier
-from monthmill.operators.lookups import with_predictions
+from monthmill.operators.lookups import attach_group_values, with_predictions
 from monthmill.operators.routing import FIRST_VARIANT_MARKETS, SECOND_VARIANT_MARKETS
 from monthmill.session import durable
 from monthmill.sinks.files import model_path, put
@@ -97,17 +100,31 @@ class Switches(NamedTuple):
     components: int = 0
 
 
-def switched_rows(df: DataFrame, label: str, row_id: str, switches: Switches, user: str | None = None, carrier: str | None = None) -> DataFrame:
+def single_carrier_rows(df: DataFrame, label: str, user: str, carrier: str) -> DataFrame:
+    """The labelled rows of users of one carrier, stored: they come from a join, and several steps or trainings read them."""
+    return durable(keep_single_carrier(df.where(F.col(label).isNotNull()), user, carrier), "single-carrier")
+
+
+def switched_rows(
+    df: DataFrame,
+    label: str,
+    row_id: str,
+    switches: Switches,
+    user: str | None = None,
+    carrier: str | None = None,
+    single: DataFrame | None = None,
+) -> DataFrame:
     """The rows a fit sees: users of one carrier, then small classes repeated, then all cut to the smallest, then weights.
 
     Rows without a label are left out first, so they are no class of their own.
-    ``user`` and ``carrier`` name the columns of the first switch.
+    ``user`` and ``carrier`` name the columns of the first switch; ``single`` are
+    its rows if several trainings share them (``single_carrier_rows``).
     """
     rows = df.where(F.col(label).isNotNull())
     if switches.single_carrier:
         if user is None or carrier is None:
             raise ValueError("a training on users of one carrier needs the columns of user and carrier")
-        rows = keep_single_carrier(rows, user, carrier)
+        rows = single_carrier_rows(df, label, user, carrier) if single is None else single
     return prep.training_rows(rows, label, row_id, switches.upsampled, switches.balanced, switches.weight)
 
 
@@ -121,15 +138,86 @@ def train_switched(
     estimator: Estimator,
     user: str | None = None,
     carrier: str | None = None,
+    single: DataFrame | None = None,
 ) -> PipelineModel:
     """Fit on the rows and features that the switches ask for.
 
-    The rows are stored once, since the fit reads them in every iteration. The
+    The rows are stored once, since the fit reads them in every iteration;
+    without numbers they are stored as counts, see ``_train_counted``. The
     estimator must take weights if a weight is wanted.
     """
-    rows = durable(switched_rows(df, label, row_id, switches, user, carrier), "training-rows")
-    weighted = estimator.copy() if switches.weight is None else estimator.copy().setWeightCol("weight")
-    return train(rows, assembled(numbers, weighted, categories, switches.scale, switches.components))
+    rows = switched_rows(df, label, row_id, switches, user, carrier, single)
+    weight = None if switches.weight is None else "weight"
+    if not numbers and _takes_counts(estimator):
+        counts = rows.groupBy(*dict.fromkeys([*categories, label, *filter(None, [weight])])).agg(F.count("*").alias("_n"))
+        counts = durable(counts.withColumn("_weight", F.col("_n") * (F.col(weight) if weight else 1.0)), "training-counts")
+        weighted = estimator.copy().setWeightCol("_weight")
+        return _train_counted(counts, assembled([], weighted, categories, switches.scale, switches.components))
+    weighted = estimator.copy().setWeightCol(weight) if weight else estimator.copy()
+    return train(durable(rows, "training-rows"), assembled(numbers, weighted, categories, switches.scale, switches.components))
+
+
+def _takes_counts(estimator: Estimator) -> bool:
+    """Whether a row of weight n is the same to the fit as n equal rows.
+
+    A penalty is laid on features divided by their deviation, which Spark
+    estimates otherwise for weights than for rows.
+    """
+    return isinstance(estimator, LogisticRegression) and estimator.getRegParam() == 0 and not estimator.isSet("weightCol")
+
+
+def _train_counted(counts: DataFrame, pipeline: Pipeline) -> PipelineModel:
+    """Fit the stages of ``assembled`` on rows that stand for ``_n`` equal rows each.
+
+    Where all features are categories, a training has no more different rows
+    than combinations of their values with the labels, however many rows it
+    has. The last stage takes the counts as weights. Scaling and components
+    take none; they are fitted on rows with the moments of the counted ones.
+    """
+    df, fitted = counts, []
+    for stage in pipeline.getStages():
+        if isinstance(stage, Transformer):
+            model = stage
+        elif isinstance(stage, StandardScaler):
+            model = stage.fit(_two_points(df, stage.getInputCol()))
+        elif isinstance(stage, PCA):
+            model = stage.fit(_mirrored(df, stage.getInputCol()))
+        else:
+            model = stage.fit(df)
+        fitted.append(model)
+        if stage is not pipeline.getStages()[-1]:
+            df = model.transform(df)
+    return PipelineModel(stages=fitted)
+
+
+def _moments(df: DataFrame, vector: str) -> tuple[np.ndarray, np.ndarray]:
+    """Mean and sample deviation of each feature over counted rows; exactly 0 deviation where a feature is constant."""
+    each = df.select("_n", F.posexplode(vector_to_array(vector)).alias("at", "x"))
+    sums = each.groupBy("at").agg(
+        F.sum("_n").alias("n"), F.sum(F.col("_n") * F.col("x")).alias("s"), F.sum(F.col("_n") * F.col("x") * F.col("x")).alias("ss")
+    )
+    n, s, ss = np.array([(r.n, r.s, r.ss) for r in sums.orderBy("at").collect()], dtype=float).T
+    mean = s / n
+    return mean, np.sqrt(np.maximum(ss - s * mean, 0) / np.maximum(n - 1, 1))
+
+
+def _two_points(df: DataFrame, vector: str) -> DataFrame:
+    """Two rows whose mean and sample deviation are those of the counted rows."""
+    mean, deviation = _moments(df, vector)
+    ends = [(Vectors.dense(mean + sign * deviation / np.sqrt(2)),) for sign in (-1, 1)]
+    return df.sparkSession.createDataFrame(ends, [vector])
+
+
+def _mirrored(df: DataFrame, vector: str) -> DataFrame:
+    """Rows whose covariance is that of the counted rows but for a factor, so that their components are the same.
+
+    Each is moved by the mean, stretched by the root of its count and set beside its opposite.
+    """
+    mean, _ = _moments(df, vector)
+    means = F.array(*map(F.lit, mean.tolist()))
+    moved = F.zip_with(vector_to_array(vector), means, lambda x, m: (x - m) * F.sqrt("_n"))
+    both = df.select(F.explode(F.array(moved, F.transform(moved, lambda x: -x))).alias("x"))
+    return both.select(array_to_vector("x").alias(vector))
 
 
 def score(df: DataFrame, model: PipelineModel) -> DataFrame:
@@ -146,6 +234,18 @@ def score(df: DataFrame, model: PipelineModel) -> DataFrame:
     return out.select(*df.columns, "prediction", certainty.alias("score"))
 
 
+def score_each(df: DataFrame, models: dict[str, PipelineModel], read: list[str]) -> DataFrame:
+    """Every row with a column per model, named as the model: a struct of ``prediction`` and ``score``.
+
+    ``read`` names the columns that the models read, categories only. Each
+    combination of their values goes through the models once and is joined to its rows.
+    """
+    scored = durable(df.select(*read).distinct(), "kinds")
+    for name, model in models.items():
+        scored = score(scored, model).withColumn(name, F.struct("prediction", "score")).drop("prediction", "score")
+    return attach_group_values(df, durable(scored, "scores"), read)
+
+
 def stored_model(base: str, market: str, model_type: str, month: str) -> PipelineModel:
     return PipelineModel.load(model_path(base, market, model_type, month))
 
@@ -174,11 +274,15 @@ def score_lines(
     return with_predictions(inputs, spark.read.schema(predictions.schema).parquet(path), key)
 
 
-def _train_each(df: DataFrame, pipelines: dict[str, Pipeline], market: str) -> dict[str, PipelineModel]:
-    """Fit several markets at a time; a fit of a small market leaves most of a cluster idle."""
-    fit = inheritable_thread_target(df.sparkSession)(lambda name: train(df.where(F.col(market) == name), pipelines[name].copy()))
+def fit_each(spark: SparkSession, names: Iterable[str], fit: Callable[[str], PipelineModel]) -> dict[str, PipelineModel]:
+    """Call ``fit`` for each name, several at a time; a small fit leaves most of a cluster idle."""
+    names = list(names)
     with ThreadPool(MARKETS_AT_A_TIME) as pool:
-        return dict(zip(pipelines, pool.map(fit, pipelines)))
+        return dict(zip(names, pool.map(inheritable_thread_target(spark)(fit), names)))
+
+
+def _train_each(df: DataFrame, pipelines: dict[str, Pipeline], market: str) -> dict[str, PipelineModel]:
+    return fit_each(df.sparkSession, pipelines, lambda name: train(df.where(F.col(market) == name), pipelines[name].copy()))
 
 
 def train_markets(df: DataFrame, markets: list[str], pipeline: Pipeline | Estimator, market: str = "market") -> dict[str, PipelineModel]:

@@ -90,7 +90,8 @@ def pick_per_class(df: DataFrame, klass: str, row_id: str, rows: int | None) ->
     )
     placed = attach_group_values(tagged, durable(cuts), [klass])
     whole = placed.where(F.col("_cut").isNull() | (F.col("_part") < F.col("_cut")))
-    edge = placed.where(F.col("_part") == F.col("_cut"))
+    # Small, and read twice where it is ranked. A plain ``==`` would have the md5 taken twice, once to see that it is not null.
+    edge = durable(placed.where(F.col("_cut").isNotNull() & F.col("_part").eqNullSafe(F.col("_cut"))), "edge")
     ranked = row_numbers(edge, [klass], [F.col("_tag"), F.col(row_id)], "_rank")
     kept = ranked.where(F.col("_rank") <= F.col("_left"))
     return whole.select(*df.columns).unionByName(kept.select(*df.columns))

@@ -6,8 +6,6 @@ probabilities are shares of classes, so that SQL can tell what a model predicts.
 
 from __future__ import annotations
 
-from functools import reduce
-
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from monthmill.operators import models
@@ -76,14 +74,20 @@ def switched_training(spark: SparkSession, folder: str) -> DataFrame:
     )
     rows = durable(rows, "lines")
 
-    def scored(variant: str) -> DataFrame:
-        model = models.train_switched(
-            rows, "label", "id", [], ["season"], _VARIANTS[variant], _precise("label"), "l_orderkey", "l_returnflag"
+    single = models.single_carrier_rows(rows, "label", "l_orderkey", "l_returnflag")
+
+    def fit(variant: str):
+        return models.train_switched(
+            rows, "label", "id", [], ["season"], _VARIANTS[variant], _precise("label"), "l_orderkey", "l_returnflag", single
         )
-        return models.score(rows, model).select(F.lit(variant).alias("variant"), "season", _p_one().alias("p_one"))
 
-    union = reduce(DataFrame.unionByName, map(scored, _VARIANTS))
-    return union.groupBy("variant", "season", "p_one").agg(F.count("*").alias("n_scored"))
+    trained = models.fit_each(spark, _VARIANTS, fit)
+    scored = models.score_each(rows.select("season"), trained, ["season"])
+    # All eight predictions are counted together, and rounding costs more than counting, so it comes after.
+    counted = scored.groupBy("season", *trained).agg(F.count("*").alias("n"))
+    each = F.array(*[F.struct(F.lit(v).alias("variant"), F.col(v).prediction, F.col(v).score) for v in trained])
+    apart = counted.select("season", "n", F.inline(each))
+    return apart.groupBy("variant", "season", _p_one().alias("p_one")).agg(F.sum("n").alias("n_scored"))
 
 
 @query(
